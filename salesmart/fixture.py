@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.schemas import STAGING_COLUMNS
+from salesmart.workspace import Workspace
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -90,6 +91,16 @@ join region sr on sr.r_regionkey = sn.n_regionkey
 
 
 def staging(spark: SparkSession, folder: str) -> DataFrame:
-    for table in TABLES:
-        spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
+    tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
+    # A tiny file is read by fewer tasks than there are cores, and the joins below keep its
+    # partitions. At scale the scan has far more tasks and nothing is moved.
+    cores = spark.sparkContext.defaultParallelism
+    if tables["lineitem"].rdd.getNumPartitions() < cores:
+        tables["lineitem"] = tables["lineitem"].repartition(cores)
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
     return spark.sql(STAGING_SQL).select(*STAGING_COLUMNS)
+
+
+def store_staging(spark: SparkSession, folder: str, workspace: Workspace) -> DataFrame:
+    return workspace.store("staging", staging(spark, folder))

@@ -18,8 +18,8 @@ DIGITS = r"^[0-9]+\z"
 PLAIN_DECIMAL = r"^[0-9]+([.][0-9]+)?\z"
 US_DATE = "M/d/yyyy"  # takes 3/5/2021 as well as 03/05/2021
 
-# What a lenient text-to-int cast accepts: blanks around, a sign, digits, an ignored fraction.
-LOOSE_INT = r"^[\s\p{Cntrl}]*([+-]?)([0-9]*)([.][0-9]*)?[\s\p{Cntrl}]*\z"
+# A number whose fraction a lenient text-to-int cast cuts off; blanks around are trimmed.
+FRACTION = r"^[\s\p{Cntrl}]*([+-]?)([0-9]*)[.][0-9]*[\s\p{Cntrl}]*\z"
 
 
 def or_empty(column: Column) -> Column:
@@ -56,9 +56,10 @@ def us_date(column: Column, strict: bool = False) -> Column:
 
 def loose_int(column: Column) -> Column:
     """Lenient text-to-int: trims, keeps the sign, cuts a fraction off, NULL on overflow."""
-    sign, whole, fraction = (F.regexp_extract(column, LOOSE_INT, group) for group in (1, 2, 3))
-    has_number = (whole != "") | (fraction != "")
-    return F.when(has_number, F.concat(sign, F.lit("0"), whole).try_cast("int"))
+    # `try_cast` takes all but the fraction, so the pattern is tried on few values only.
+    sign, whole = (F.regexp_extract(column, FRACTION, group) for group in (1, 2))
+    cut = F.when(column.rlike(FRACTION), F.concat(sign, F.lit("0"), whole).try_cast("int"))
+    return F.coalesce(column.try_cast("int"), cut)
 
 
 def loose_double(column: Column) -> Column:

@@ -87,10 +87,17 @@ def _average_price(name: str) -> Column:
 
 
 def _average_per_sale(attribute: str, name: str) -> Column:
-    """Mean of a dimension attribute over the sales, i.e. weighted by the number of sales."""
-    value = F.col(attribute)
+    """Mean of a dimension attribute over the sales, i.e. weighted by the number of sales.
+
+    The attribute is a double, whose sum would depend on the order of the rows. It is summed as
+    a decimal, unless the group holds a value that does not fit one.
+    """
+    value, exact = F.col(attribute), F.col(attribute).try_cast("decimal(20,6)")
+    misfits = F.count_if(value.isNotNull() & exact.isNull())
+    total = F.when(misfits == 0, F.sum(exact * F.col("sales")).cast("double"))
+    total = total.otherwise(F.sum(value * F.col("sales")))
     known = F.sum(F.when(value.isNotNull(), F.col("sales")))
-    return F.round(F.try_divide(F.sum(value * F.col("sales")), known), 6).alias(name)
+    return F.try_divide(total, known).alias(name)
 
 
 def products_top10(mart: Mart) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,11 @@ class Dimension:
     #: column -> staging column
     columns: dict[str, str]
     #: column -> parser, for the columns that are not plain text
-    parsers: dict = None
+    parsers: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
 
     def parse(self, name: str) -> Column:
         source = F.col(self.columns[name])
-        parser = (self.parsers or {}).get(name)
-        return (parser(source) if parser else source).alias(name)
+        return (self.parsers[name](source) if name in self.parsers else source).alias(name)
 
 
 # Columns and natural keys of the dimensions.
@@ -111,6 +111,13 @@ DIMENSIONS = {
     ),
 }
 
+# Measures of the fact as column -> (staging column, parser).
+MEASURES = {
+    "sale_date": ("sale_date", us_date),
+    "quantity": ("sale_quantity", loose_int),
+    "total_price": ("sale_total_price", money),
+}
+
 # Dimensions that tend to be small come first: their broadcast joins shorten the rows before
 # the larger ones, which may have to shuffle them.
 JOIN_ORDER = ["store_dim", "seller_dim", "supplier_dim", "product_dim", "customer_dim"]
@@ -124,7 +131,7 @@ def dimension(staging: DataFrame, name: str) -> DataFrame:
     return dense_id(picked, spec.keys, spec.id)
 
 
-def link(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def link(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Left-join the five ids to rows that still hold the natural keys under staging names."""
     for name in JOIN_ORDER:
         spec = DIMENSIONS[name]
@@ -138,16 +145,14 @@ def natural_keys() -> list[str]:
     return [spec.columns[key] for spec in DIMENSIONS.values() for key in spec.keys]
 
 
-def sales_fact(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def sales_fact(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """One row per staging row; an unknown or NULL natural key gives a NULL id."""
-    rows = staging.select(
-        us_date(F.col("sale_date")).alias("sale_date"),
-        loose_int(F.col("sale_quantity")).alias("quantity"),
-        money(F.col("sale_total_price")).alias("total_price"),
-        *natural_keys(),
-    )
+    measures = [
+        parser(F.col(source)).alias(column) for column, (source, parser) in MEASURES.items()
+    ]
+    rows = staging.select(*measures, *natural_keys())
     ids = [spec.id for spec in DIMENSIONS.values()]
-    return link(rows, dims).select(*ids, "sale_date", "quantity", "total_price")
+    return link(rows, dims).select(*ids, *MEASURES)
 
 
 def build(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:

@@ -1,0 +1,14 @@
+from salesmart.sinks.writers import (
+    save_all,
+    to_database,
+    to_folder,
+    write_csv,
+    write_jdbc,
+    write_parquet,
+    write_typed_table,
+)
+
+__all__ = [
+    "save_all", "to_database", "to_folder",
+    "write_csv", "write_jdbc", "write_parquet", "write_typed_table",
+]

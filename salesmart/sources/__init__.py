@@ -1,0 +1,8 @@
+from salesmart.sources.csv_files import read_staging_csv
+from salesmart.sources.jdbc import Database, Ranges, read_table
+from salesmart.sources.tables import STAR_VIEWS, read_tables, register_views
+
+__all__ = [
+    "Database", "Ranges", "STAR_VIEWS",
+    "read_staging_csv", "read_table", "read_tables", "register_views",
+]

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Jobs submitted at a time by `store_all`; they share the cluster, Spark schedules their tasks.
 CONCURRENT_WRITES = 4
 
+#: Keeps files small enough for one scan task each, however coarse the writing tasks were.
+ROWS_PER_FILE = 1_000_000
+
 
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,9 +36,13 @@ class Workspace:
         self.spark = spark
         self.folder = folder or f"{_shared_folder(spark).rstrip('/')}/salesmart-{uuid.uuid4().hex}"
 
-    def store(self, name: str, table: DataFrame) -> DataFrame:
+    def child(self, name: str) -> Workspace:
+        return Workspace(self.spark, f"{self.folder}/{name}")
+
+    def store(self, name: str, table: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
         path = f"{self.folder}/{name}"
-        table.write.mode("overwrite").parquet(path)
+        write = table.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        write.parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
     def store_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

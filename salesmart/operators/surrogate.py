@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 #: Leading hex digits of the key's md5 that name its bucket: 16**3 = 4,096 buckets at most.
 BUCKET_DIGITS = 3
 
+#: Most files whose positions are broadcast: about 100 bytes each, so 20 MB at most.
+BROADCAST_FILES = 200_000
+
 
 def dense_id(
     rows: DataFrame, keys: Sequence[str], name: str, bucket_digits: int = BUCKET_DIGITS
 ) -> DataFrame:
     """Add a bigint ``name`` = rank of the row by md5 of its key text, then by the key itself.
 
-    ``keys`` must be unique and text. The id depends on the data alone: neither on the
+    ``keys`` must be unique and text. ``rows`` is read twice, so it should be a stored table.
+    The id depends on the data alone: neither on the
     partitioning nor on ``bucket_digits``, which only sets how finely the ranking is split.
     Rows are ranked inside buckets that share a hash prefix, all buckets being about equally
     large, and each bucket is shifted by the number of rows in the buckets before it.
@@ -47,6 +51,7 @@ def position_id(stored: DataFrame, name: str) -> DataFrame:
     For tables too large to rank: files are numbered by name and rows by their place in the
     file, so nothing is shuffled but one count per file. The table must have been written
     before, which also freezes the result: reading it again gives the same ids.
+    The number of files is known from the file listing and decides on the broadcast.
     """
     placed = stored.select(
         "*",
@@ -59,6 +64,8 @@ def position_id(stored: DataFrame, name: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
     )
+    if len(stored.inputFiles()) <= BROADCAST_FILES:
+        shifts = F.broadcast(shifts)
     return placed.join(shifts, "_file").select(
         (F.col("_shift") + F.col("_row") + 1).alias(name), *stored.columns
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -213,17 +214,12 @@ def parsed(table: str, column: str, source: str, strict: bool = False) -> Column
     return text.alias(column)
 
 
-def outrigger(staging: DataFrame, name: str) -> DataFrame:
-    spec = OUTRIGGERS[name]
-    tuples = staging.select(
-        *[or_empty(F.col(source)).alias(column) for column, source in spec.columns.items()]
-    ).distinct()
-    return dense_id(tuples, list(spec.columns), spec.id).select(spec.id, *spec.columns)
-
-
-def entity(
-    staging: DataFrame, name: str, outriggers: dict[str, DataFrame], strict: bool = False
-) -> DataFrame:
+def picked(staging: DataFrame, name: str) -> DataFrame:
+    """The rows of an outrigger or entity, still as staging text and without an id."""
+    if name in OUTRIGGERS:
+        columns = OUTRIGGERS[name].columns.items()
+        tuples = [or_empty(F.col(source)).alias(column) for column, source in columns]
+        return staging.select(*tuples).distinct()
     spec = ENTITIES[name]
     rows = staging.select(
         F.col("id").alias("_id"),
@@ -235,13 +231,24 @@ def entity(
     if spec.known_only:
         for key in spec.keys:
             rows = rows.where(F.col(key).isNotNull())
-    picked = representative(rows, spec.keys, spec.columns, first_by="_id")
-    linked = dense_id(picked, spec.keys, "id")
-    for foreign_key, table in spec.outriggers.items():
+    return representative(rows, spec.keys, spec.columns, first_by="_id")
+
+
+def outrigger(picked_rows: DataFrame, name: str) -> DataFrame:
+    """The stored `picked` tuples with a dense id."""
+    spec = OUTRIGGERS[name]
+    return dense_id(picked_rows, list(spec.columns), spec.id).select(spec.id, *spec.columns)
+
+
+def entity(
+    picked_rows: DataFrame, name: str, outriggers: Mapping[str, DataFrame], strict: bool = False
+) -> DataFrame:
+    """The stored `picked` rows with a dense id, typed values and foreign keys."""
+    spec = ENTITIES[name]
+    linked = dense_id(picked_rows, spec.keys, "id")
+    for foreign, table in spec.outriggers.items():
         on = {source: column for column, source in OUTRIGGERS[table].columns.items()}
-        linked = attach_key(
-            linked, outriggers[table], on, OUTRIGGERS[table].id, "inner", foreign_key
-        )
+        linked = attach_key(linked, outriggers[table], on, OUTRIGGERS[table].id, "inner", foreign)
     values = [parsed(name, column, source, strict) for column, source in spec.output.items()]
     return linked.select("id", *values, *spec.outriggers)
 
@@ -259,7 +266,7 @@ def foreign_key(table: str) -> str:
     return table.removeprefix("dim_") + "_id"
 
 
-def link(rows: DataFrame, tables: dict[str, DataFrame], how: str) -> DataFrame:
+def link(rows: DataFrame, tables: Mapping[str, DataFrame], how: str) -> DataFrame:
     """Join the five ids to rows that still hold the `link_columns`.
 
     A link that goes through an outrigger looks the dimension up by the outrigger's columns. An
@@ -280,7 +287,7 @@ def link(rows: DataFrame, tables: dict[str, DataFrame], how: str) -> DataFrame:
     return rows
 
 
-def fact_rows(staging: DataFrame, tables: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+def fact_rows(staging: DataFrame, tables: Mapping[str, DataFrame], strict: bool = False) -> DataFrame:
     """The fact without its own id; a row that lacks any of the five dimensions is dropped."""
     measures = [parsed("fact_sales", column, source, strict) for column, source in MEASURES.items()]
     rows = staging.select(*measures, *link_columns())
@@ -294,9 +301,11 @@ def build(staging: DataFrame, workspace: Workspace, strict: bool = False) -> dic
     ``strict=True`` raises on a value that has the right shape but does not fit its type, on
     a date that does not exist, and so on; by default such a value is NULL.
     """
-    tables = workspace.store_all({name: outrigger(staging, name) for name in OUTRIGGERS})
-    entities = {name: entity(staging, name, tables, strict) for name in ENTITIES}
+    names = [*OUTRIGGERS, *ENTITIES]
+    rows = workspace.child("picked").store_all({name: picked(staging, name) for name in names})
+    tables = workspace.store_all({name: outrigger(rows[name], name) for name in OUTRIGGERS})
+    entities = {name: entity(rows[name], name, tables, strict) for name in ENTITIES}
     tables |= workspace.store_all(entities)
-    rows = workspace.store("fact_sales", fact_rows(staging, tables, strict))
-    tables["fact_sales"] = position_id(rows, "id")
+    facts = workspace.store("fact_sales", fact_rows(staging, tables, strict))
+    tables["fact_sales"] = position_id(facts, "id")
     return tables

@@ -123,12 +123,16 @@ MEASURES = {
 JOIN_ORDER = ["store_dim", "seller_dim", "supplier_dim", "product_dim", "customer_dim"]
 
 
-def dimension(staging: DataFrame, name: str) -> DataFrame:
-    """One row per natural key (NULL is a key too) with a dense id."""
+def picked(staging: DataFrame, name: str) -> DataFrame:
+    """One row per natural key; NULL is a key too."""
     spec = DIMENSIONS[name]
     rows = staging.select(F.col("id").alias("_id"), *[spec.parse(column) for column in spec.columns])
-    picked = representative(rows, spec.keys, list(spec.columns), first_by="_id")
-    return dense_id(picked, spec.keys, spec.id)
+    return representative(rows, spec.keys, list(spec.columns), first_by="_id")
+
+
+def dimension(picked_rows: DataFrame, name: str) -> DataFrame:
+    """The stored `picked` rows with a dense id."""
+    return dense_id(picked_rows, DIMENSIONS[name].keys, DIMENSIONS[name].id)
 
 
 def link(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -157,6 +161,7 @@ def sales_fact(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 def build(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
     """All six tables, stored in the workspace. ``staging`` is scanned once per table."""
-    tables = workspace.store_all({name: dimension(staging, name) for name in DIMENSIONS})
+    rows = workspace.child("picked").store_all({name: picked(staging, name) for name in DIMENSIONS})
+    tables = workspace.store_all({name: dimension(rows[name], name) for name in DIMENSIONS})
     tables["sales_fact"] = workspace.store("sales_fact", sales_fact(staging, tables))
     return tables

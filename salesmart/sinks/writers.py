@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesmart.schemas import ddl
 from salesmart.sources.jdbc import Database
+from salesmart.workspace import CONCURRENT_WRITES
 
 Writer = Callable[[str, DataFrame], None]
 
@@ -67,9 +69,12 @@ def to_database(database: Database, prefix: str = "", **options) -> Writer:
 
 def save_all(tables: Mapping[str, DataFrame], write: Writer) -> dict[str, int]:
     """Write each table and return its number of rows, counted while it is written."""
-    rows = {}
-    for name, table in tables.items():
+
+    def save(item: tuple[str, DataFrame]) -> int:
+        name, table = item
         seen = Observation(f"rows of {name}")
         write(name, table.observe(seen, F.count(F.lit(1)).alias("rows")))
-        rows[name] = seen.get["rows"]
-    return rows
+        return seen.get["rows"]
+
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        return dict(zip(tables, pool.map(save, tables.items())))

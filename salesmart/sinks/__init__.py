@@ -1,4 +1,5 @@
 from salesmart.sinks.writers import (
+    Writer,
     save_all,
     to_database,
     to_folder,
@@ -9,6 +10,6 @@ from salesmart.sinks.writers import (
 )
 
 __all__ = [
-    "save_all", "to_database", "to_folder",
+    "Writer", "save_all", "to_database", "to_folder",
     "write_csv", "write_jdbc", "write_parquet", "write_typed_table",
 ]

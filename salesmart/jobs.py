@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,18 +15,31 @@ from salesmart.schemas import (
     SNOWFLAKE_TABLES,
     STAR_EDGES,
     STAR_KEYS,
+    STAR_TABLES,
 )
 from salesmart.sinks import Writer, save_all, to_database, to_folder
-from salesmart.sources import Database, read_staging_csv, read_table
+from salesmart.sources import Database, read_staging_csv, read_table, read_tables
 from salesmart.workspace import Workspace
 
 
 def run_snowflake(
-    staging: DataFrame, workspace: Workspace, write: Writer, strict: bool = False
+    staging: DataFrame,
+    workspace: Workspace,
+    write: Writer,
+    write_audits: Writer | None = None,
+    strict: bool = False,
 ) -> dict[str, int]:
     """Build and write the twelve snowflake tables; returns rows per table, staging included."""
     tables = snowflake.build(staging, workspace.child("snowflake"), strict)
-    return {"staging_raw": staging.count(), **save_all(tables, write)}
+    rows = {"staging_raw": staging.count(), **save_all(tables, write)}
+    if write_audits:
+        rows |= save_all({
+            "audit_fk": audits.fk_violations(tables, SNOWFLAKE_EDGES, SNOWFLAKE_KEYS),
+            "audit_pk": audits.pk_violations(tables, SNOWFLAKE_KEYS),
+            "audit_lengths": audits.length_violations(tables, SNOWFLAKE_TABLES),
+            "audit_rejects": audits.snowflake_rejects(staging, tables),
+        }, write_audits)
+    return rows
 
 
 def run_star(
@@ -34,85 +47,119 @@ def run_star(
     workspace: Workspace,
     write: Writer,
     write_reports: Writer | None = None,
+    write_audits: Writer | None = None,
     ordered: bool = False,
 ) -> dict[str, int]:
     """Build and write the six star tables and, if wanted, the eighteen reports on them."""
     tables = star.build(staging, workspace.child("star"))
     rows = {"staging_data": staging.count(), **save_all(tables, write)}
+    if write_audits:
+        rows |= save_all({
+            "audit_fk": audits.fk_violations(tables, STAR_EDGES, STAR_KEYS),
+            "audit_pk": audits.pk_violations(tables, STAR_KEYS),
+            "audit_rejects": audits.star_rejects(staging, tables),
+        }, write_audits)
     if write_reports:
-        marts = reports.build(tables, workspace.child("reports"), ordered)
-        rows |= save_all({f"report_{name}": table for name, table in marts.items()}, write_reports)
+        rows |= run_reports(tables, workspace, write_reports, ordered)
     return rows
 
 
-def run_audits(profile: str, staging: DataFrame, tables: dict[str, DataFrame], write: Writer):
-    """Write the audits of one profile as tables."""
-    if profile == "snowflake":
-        edges, keys, rejects = SNOWFLAKE_EDGES, SNOWFLAKE_KEYS, audits.snowflake_rejects
-    else:
-        edges, keys, rejects = STAR_EDGES, STAR_KEYS, audits.star_rejects
-    found = {
-        "audit_table_counts": audits.table_counts({"staging": staging, **tables}),
-        "audit_fk": audits.fk_violations(tables, edges, keys),
-        "audit_pk": audits.pk_violations(tables, keys),
-        "audit_rejects": rejects(staging, tables),
-    }
-    if profile == "snowflake":
-        found["audit_lengths"] = audits.length_violations(tables, SNOWFLAKE_TABLES)
-    return save_all(found, write)
+def run_reports(
+    tables: Mapping[str, DataFrame], workspace: Workspace, write: Writer, ordered: bool = False
+) -> dict[str, int]:
+    """Write the eighteen reports on existing star tables."""
+    built = reports.build(tables, workspace.child("reports"), ordered)
+    return save_all({f"report_{name}": table for name, table in built.items()}, write)
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
-    parser = argparse.ArgumentParser(prog="salesmart", description=__doc__)
-    parser.add_argument("profile", choices=["snowflake", "star"])
-    source = parser.add_mutually_exclusive_group(required=True)
-    source.add_argument("--csv", nargs="+", help="CSV files or folders")
-    source.add_argument("--parquet", help="staging as parquet")
-    source.add_argument("--jdbc-table", help="staging table; login from SALESMART_SOURCE_*")
-    parser.add_argument("--predicates", nargs="*", default=[], help="split of the JDBC scan")
-    parser.add_argument("--single-line", action="store_true", help="no line breaks in quotes")
-    target = parser.add_mutually_exclusive_group(required=True)
-    target.add_argument("--out", help="folder for the tables")
-    target.add_argument("--out-jdbc", action="store_true", help="login from SALESMART_TARGET_*")
-    parser.add_argument("--reports-out", help="folder for the reports (star)")
-    parser.add_argument("--reports-jdbc", action="store_true",
-                        help="reports to a database; login from SALESMART_REPORTS_*")
-    parser.add_argument("--ordered", action="store_true", help="sort reports without a limit")
-    parser.add_argument("--strict", action="store_true", help="raise on unusable values")
-    parser.add_argument("--work", help="folder for intermediate tables")
+    parser = argparse.ArgumentParser(
+        prog="salesmart", description=__doc__,
+        epilog="Databases are given by SALESMART_SOURCE_*, SALESMART_TARGET_* and "
+        "SALESMART_REPORTS_*: _URL and, if needed, _USER, _PASSWORD, _DRIVER.",
+    )
+    commands = parser.add_subparsers(dest="command", required=True)
+    for profile in ("snowflake", "star"):
+        command = commands.add_parser(profile, help=f"build the {profile} tables")
+        source = command.add_mutually_exclusive_group(required=True)
+        source.add_argument("--csv", nargs="+", help="CSV files or folders")
+        source.add_argument("--parquet", help="staging as parquet")
+        source.add_argument("--jdbc-table", help="staging table of the source database")
+        command.add_argument("--predicates", nargs="*", default=[], help="split of the JDBC scan")
+        command.add_argument("--delimiter", default=",")
+        command.add_argument("--single-line", action="store_true",
+                             help="no line breaks inside quotes: large CSV files can be split")
+        target = command.add_mutually_exclusive_group(required=True)
+        target.add_argument("--out", help="folder for the tables")
+        target.add_argument("--out-jdbc", action="store_true", help="to the target database")
+        command.add_argument("--audits-out", help="folder for the audits")
+    commands.choices["snowflake"].add_argument(
+        "--strict", action="store_true", help="raise on values that do not fit their type")
+    command = commands.add_parser("reports", help="reports on existing star tables")
+    source = command.add_mutually_exclusive_group(required=True)
+    source.add_argument("--star", help="folder of the star tables")
+    source.add_argument("--star-jdbc", action="store_true", help="from the source database")
+    for name in ("star", "reports"):
+        target = commands.choices[name].add_mutually_exclusive_group(required=name == "reports")
+        target.add_argument("--reports-out", help="folder for the reports")
+        target.add_argument("--reports-jdbc", action="store_true",
+                            help="to the report database")
+        commands.choices[name].add_argument("--ordered", action="store_true",
+                                            help="sort the reports that have no limit")
+    for command in commands.choices.values():
+        command.add_argument("--work", help="shared folder for intermediate tables")
     return parser.parse_args(argv)
 
 
+def _staging(spark: SparkSession, workspace: Workspace, options: argparse.Namespace) -> DataFrame:
+    """The extract as a stored table, as every later step scans some of its columns."""
+    if options.parquet:
+        return spark.read.parquet(options.parquet)
+    if options.csv:
+        rows = read_staging_csv(spark, options.csv, options.delimiter, not options.single_line)
+    else:
+        source = Database.from_environment("SALESMART_SOURCE")
+        rows = read_table(spark, source, options.jdbc_table, predicates=options.predicates)
+    return workspace.store("staging", rows)
+
+
+def _star_tables(
+    spark: SparkSession, workspace: Workspace, options: argparse.Namespace
+) -> dict[str, DataFrame]:
+    if options.star:
+        return read_tables(spark, options.star, STAR_TABLES)
+    source = Database.from_environment("SALESMART_SOURCE")
+    # Copied once: the reports then neither query the database again nor guess table sizes.
+    return workspace.child("copy").store_all(
+        {name: read_table(spark, source, name) for name in STAR_TABLES}
+    )
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     options = _arguments(argv)
     spark = SparkSession.builder.appName("salesmart").getOrCreate()
     workspace = Workspace(spark, options.work)
 
-    if options.csv:
-        extract = read_staging_csv(spark, options.csv, multi_line=not options.single_line)
-    elif options.jdbc_table:
-        source = Database.from_environment("SALESMART_SOURCE")
-        extract = read_table(spark, source, options.jdbc_table, predicates=options.predicates)
-    else:
-        extract = None
-    if extract is None:
-        staging = spark.read.parquet(options.parquet)
-    else:
-        staging = workspace.store("staging", extract)
+    def writer(folder: str | None, to_jdbc: bool, prefix: str) -> Writer | None:
+        if to_jdbc:
+            return to_database(Database.from_environment(prefix))
+        return to_folder(folder) if folder else None
 
-    if options.out_jdbc:
-        write = to_database(Database.from_environment("SALESMART_TARGET"))
-    else:
-        write = to_folder(options.out)
-    if options.profile == "snowflake":
-        rows = run_snowflake(staging, workspace, write, options.strict)
+    if options.command != "snowflake":
+        write_reports = writer(options.reports_out, options.reports_jdbc, "SALESMART_REPORTS")
+    if options.command == "reports":
+        tables = _star_tables(spark, workspace, options)
+        rows = run_reports(tables, workspace, write_reports, options.ordered)
     else:
-        write_reports = None
-        if options.reports_jdbc:
-            write_reports = to_database(Database.from_environment("SALESMART_REPORTS"))
-        elif options.reports_out:
-            write_reports = to_folder(options.reports_out)
-        rows = run_star(staging, workspace, write, write_reports, options.ordered)
+        staging = _staging(spark, workspace, options)
+        write = writer(options.out, options.out_jdbc, "SALESMART_TARGET")
+        write_audits = writer(options.audits_out, False, "")
+        if options.command == "star":
+            rows = run_star(
+                staging, workspace, write, write_reports, write_audits, options.ordered
+            )
+        else:
+            rows = run_snowflake(staging, workspace, write, write_audits, options.strict)
     print(json.dumps(rows, indent=2))
 
 

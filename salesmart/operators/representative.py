@@ -16,11 +16,13 @@ def representative(
     NULL keys form one group, as in ``dropDuplicates``. The order covers every column that is
     kept, so rows that still tie are equal and the pick does not depend on the partitioning.
 
-    Written as an aggregate and not as a ranked window: the minimum is combined on the map side,
-    so each task sends at most one row per key however hot the key is, and Catalyst knows that
-    ``keys`` are unique afterwards.
+    Written as an aggregate: the minimum is combined on the map side, so each task sends at most
+    one row per key, however hot the key is.
     """
     rest = [name for name in columns if name not in keys]
+    # Spark sorts strings by their first bytes and compares the rest only on a tie. Keys of
+    # several columns tend to share those bytes; their hash does not.
+    grouping = [F.xxhash64(*keys).alias("_hash"), *keys] if len(keys) > 1 else list(keys)
     first = F.min(F.struct(first_by, *rest)).alias("_first")
     kept = [F.col(name) if name in keys else F.col(f"_first.{name}") for name in columns]
-    return rows.groupBy(*keys).agg(first).select(*kept)
+    return rows.groupBy(*grouping).agg(first).select(*kept)

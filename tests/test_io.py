@@ -1,11 +1,13 @@
 """Sources, sinks and whole jobs."""
 
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 
 from salesmart import jobs, sinks, sources
+from salesmart.plans import star
 from salesmart.schemas import SNOWFLAKE_TABLES, STAGING_COLUMNS
 from salesmart.workspace import Workspace
 
@@ -98,8 +100,6 @@ def test_typed_table_enforces_limits(spark, tmp_path):
 
 
 def test_views_serve_sql(spark, staging_rows, workspace):
-    from salesmart.plans import star
-
     sources.register_views(star.build(staging_rows({}, {"id": "2"}), workspace))
     total = spark.sql("SELECT sum(quantity) AS q FROM sf JOIN cd USING (customer_id)").first()
     assert total.q == 4
@@ -158,17 +158,24 @@ def test_workspace_uses_the_shared_folder(spark):
     assert Workspace(spark).folder != Workspace(spark).folder
 
 
-def test_star_job(spark, staging_rows, tmp_path, capsys):
+def test_star_and_report_jobs(spark, staging_rows, tmp_path, capsys):
     staging = staging_rows({"id": "1"}, {"id": "2", "customer_email": None})
     sinks.write_csv(staging, str(tmp_path / "csv"))
     jobs.main([
         "star", "--csv", str(tmp_path / "csv"), "--out", str(tmp_path / "out"),
-        "--reports-out", str(tmp_path / "reports"), "--work", str(tmp_path / "work"), "--ordered",
+        "--audits-out", str(tmp_path / "audits"), "--work", str(tmp_path / "work"),
     ])
     rows = json.loads(capsys.readouterr().out)
     assert rows["staging_data"] == 2 and rows["sales_fact"] == 2 and rows["customer_dim"] == 2
-    assert sum(name.startswith("report_") for name in rows) == 18
-    assert spark.read.parquet(str(tmp_path / "reports" / "report_time_yearly")).count() == 1
+    assert rows["audit_rejects"] == 1
+    jobs.main([
+        "reports", "--star", str(tmp_path / "out"), "--reports-out", str(tmp_path / "reports"),
+        "--work", str(tmp_path / "work"), "--ordered",
+    ])
+    rows = json.loads(capsys.readouterr().out)
+    assert len(rows) == 18 and all(name.startswith("report_") for name in rows)
+    yearly = spark.read.parquet(str(tmp_path / "reports" / "report_time_yearly"))
+    assert [tuple(row) for row in yearly.collect()] == [(2021, Decimal("38.00"), 2)]
 
 
 def test_snowflake_job(spark, staging_rows, tmp_path, capsys):
@@ -176,9 +183,10 @@ def test_snowflake_job(spark, staging_rows, tmp_path, capsys):
     staging.write.parquet(str(tmp_path / "staging"))
     jobs.main([
         "snowflake", "--parquet", str(tmp_path / "staging"), "--out", str(tmp_path / "out"),
-        "--work", str(tmp_path / "work"),
+        "--work", str(tmp_path / "work"), "--audits-out", str(tmp_path / "audits"),
     ])
     rows = json.loads(capsys.readouterr().out)
-    assert rows["staging_raw"] == 2 and rows["fact_sales"] == 1 and len(rows) == 13
+    assert rows["staging_raw"] == 2 and rows["fact_sales"] == 1
+    assert rows["audit_fk"] == 11 and rows["audit_pk"] == 12 and rows["audit_lengths"] == 34
     fact = spark.read.parquet(str(tmp_path / "out" / "fact_sales"))
     assert fact.columns == [column for column, _ in SNOWFLAKE_TABLES["fact_sales"]]

@@ -30,14 +30,16 @@ def run_snowflake(
     strict: bool = False,
 ) -> dict[str, int]:
     """Build and write the twelve snowflake tables; returns rows per table, staging included."""
-    tables = snowflake.build(staging, workspace.child("snowflake"), strict)
+    space = workspace.child("snowflake")
+    keys = snowflake.number(staging, space)
+    tables = snowflake.build(staging, space, strict, keys)
     rows = {"staging_raw": staging.count(), **save_all(tables, write)}
     if write_audits:
         rows |= save_all({
             "audit_fk": audits.fk_violations(tables, SNOWFLAKE_EDGES, SNOWFLAKE_KEYS),
             "audit_pk": audits.pk_violations(tables, SNOWFLAKE_KEYS),
             "audit_lengths": audits.length_violations(tables, SNOWFLAKE_TABLES),
-            "audit_rejects": audits.snowflake_rejects(staging, tables),
+            "audit_rejects": audits.snowflake_rejects(staging, keys),
         }, write_audits)
     return rows
 
@@ -131,7 +133,7 @@ def _star_tables(
     source = Database.from_environment("SALESMART_SOURCE")
     # Copied once: the reports then neither query the database again nor guess table sizes.
     return workspace.child("copy").store_all(
-        {name: read_table(spark, source, name) for name in STAR_TABLES}
+        STAR_TABLES, lambda name: read_table(spark, source, name)
     )
 
 

@@ -66,6 +66,7 @@ def position_id(stored: DataFrame, name: str) -> DataFrame:
     )
     if len(stored.inputFiles()) <= BROADCAST_FILES:
         shifts = F.broadcast(shifts)
-    return placed.join(shifts, "_file").select(
+    # A left join, although every file has a shift: Spark leaves it out where the id is not used.
+    return placed.join(shifts, "_file", "left").select(
         (F.col("_shift") + F.col("_row") + 1).alias(name), *stored.columns
     )

@@ -112,12 +112,13 @@ def _unusable(parsed: Column, source: str) -> Column:
 
 
 def snowflake_rejects(
-    staging: DataFrame, tables: Tables, kept: tuple[str, ...] = ("id",)
+    staging: DataFrame, keys: Tables, kept: tuple[str, ...] = ("id",)
 ) -> DataFrame:
     """One row per staging row and broken rule.
 
     ``no_<dimension>`` is why the row is not in the fact; ``bad_<column>`` is a text that was
-    turned into NULL. ``kept`` columns identify the staging row, e.g. ``id`` and ``_source``.
+    turned into NULL. ``keys`` is the result of `snowflake.number`. ``kept`` columns identify
+    the staging row, e.g. ``id`` and ``_source``.
     """
     values = {("fact_sales", column): source for column, source in snowflake.MEASURES.items()}
     for name, spec in snowflake.ENTITIES.items():
@@ -132,7 +133,7 @@ def snowflake_rejects(
         *[rule.alias(name) for name, rule in typed.items()],
         *snowflake.link_columns(),
     )
-    linked = snowflake.link(rows, tables, "left")
+    linked = snowflake.link(rows, keys, "left")
     rules = {
         f"no_{table.removeprefix('dim_')}": F.col(snowflake.foreign_key(table)).isNull()
         for table in snowflake.FACT_LINKS
@@ -144,7 +145,8 @@ def snowflake_rejects(
 def star_rejects(
     staging: DataFrame, tables: Tables, kept: tuple[str, ...] = ("id",)
 ) -> DataFrame:
-    """Like `snowflake_rejects`; here ``no_<dimension>`` is a NULL id in a row that was kept."""
+    """Like `snowflake_rejects`, with the star tables; here ``no_<dimension>`` is a NULL id in a
+    row that was kept."""
     parsed = {source: parser(F.col(source)) for source, parser in star.MEASURES.values()}
     for spec in star.DIMENSIONS.values():
         parsed |= {spec.columns[column]: spec.parse(column) for column in spec.parsers}

@@ -256,8 +256,8 @@ def build(
     tables: Mapping[str, DataFrame], workspace: Workspace, ordered: bool = False
 ) -> dict[str, DataFrame]:
     """All reports. Their rollups are stored first: six scans of the fact instead of sixteen."""
-    fact = tables["sales_fact"]
-    names = [*ROLLUP_KEYS, "month"]
-    rollups = workspace.store_all({f"by_{name}": rollup(fact, name) for name in names})
-    mart = Mart(tables, {name: rollups[f"by_{name}"] for name in names})
+    rollups = workspace.child("by").store_all(
+        [*ROLLUP_KEYS, "month"], lambda name: rollup(tables["sales_fact"], name)
+    )
+    mart = Mart(tables, rollups)
     return {name: report(mart, name, ordered) for name in REPORTS}

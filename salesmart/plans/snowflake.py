@@ -169,29 +169,18 @@ ENTITIES = {
     ),
 }
 
-# How the fact finds its dimensions, as staging column -> column of the entity
-# or (after a dot) of its outrigger. Small dimensions and the store, which loses the most
-# rows, come first, so that the joins with larger ones see fewer and shorter rows.
+# The staging columns by which a sale finds its dimensions. The store is found by
+# name and full address, so a sale in another state than the store's own finds none. Small
+# dimensions and the store, which loses the most rows, come first, so that the joins with
+# larger ones see fewer and shorter rows.
 FACT_LINKS = {
-    "dim_store": {
-        "store_name": "name",
-        "store_city": "dim_address_store.city",
-        "store_state": "dim_address_store.state",
-        "store_country": "dim_address_store.country",
-    },
-    "dim_seller": {"seller_email": "email"},
-    "dim_supplier": {"supplier_email": "email"},
-    "dim_product": {
-        "product_name": "name",
-        "product_brand": "brand",
-        "product_category": "dim_category_product.name",
-    },
-    "dim_customer": {"customer_email": "email"},
+    "dim_store": ("store_name", "store_city", "store_state", "store_country"),
+    "dim_seller": ("seller_email",),
+    "dim_supplier": ("supplier_email",),
+    "dim_product": ("product_name", "product_category", "product_brand"),
+    "dim_customer": ("customer_email",),
 }
 
-# Link columns in which NULL matches ''.
-EMPTY_LINKS = {"store_city", "store_state", "store_country", "product_brand", "product_category"}
-
 # Measures of the fact as column -> staging column.
 MEASURES = {
     "sale_date": "sale_date",
@@ -234,30 +223,32 @@ def picked(staging: DataFrame, name: str) -> DataFrame:
     return representative(rows, spec.keys, spec.columns, first_by="_id")
 
 
-def outrigger(picked_rows: DataFrame, name: str) -> DataFrame:
-    """The stored `picked` tuples with a dense id."""
-    spec = OUTRIGGERS[name]
-    return dense_id(picked_rows, list(spec.columns), spec.id).select(spec.id, *spec.columns)
+def numbered(picked_rows: DataFrame, name: str) -> DataFrame:
+    """The stored `picked` rows with a dense id; an outrigger is complete with that."""
+    if name in OUTRIGGERS:
+        spec = OUTRIGGERS[name]
+        return dense_id(picked_rows, list(spec.columns), spec.id).select(spec.id, *spec.columns)
+    return dense_id(picked_rows, ENTITIES[name].keys, "id")
 
 
 def entity(
-    picked_rows: DataFrame, name: str, outriggers: Mapping[str, DataFrame], strict: bool = False
+    keys: Mapping[str, DataFrame], name: str, strict: bool = False
 ) -> DataFrame:
-    """The stored `picked` rows with a dense id, typed values and foreign keys."""
+    """The `numbered` rows of an entity with typed values and foreign keys."""
     spec = ENTITIES[name]
-    linked = dense_id(picked_rows, spec.keys, "id")
+    linked = keys[name]
     for foreign, table in spec.outriggers.items():
         on = {source: column for column, source in OUTRIGGERS[table].columns.items()}
-        linked = attach_key(linked, outriggers[table], on, OUTRIGGERS[table].id, "inner", foreign)
+        linked = attach_key(linked, keys[table], on, OUTRIGGERS[table].id, "inner", foreign)
     values = [parsed(name, column, source, strict) for column, source in spec.output.items()]
     return linked.select("id", *values, *spec.outriggers)
 
 
 def link_columns() -> list[Column]:
-    """The staging columns the fact is linked by."""
-    names = [source for on in FACT_LINKS.values() for source in on]
+    """The staging columns the fact is linked by, with '' where the entity has it."""
     return [
-        or_empty(F.col(name)).alias(name) if name in EMPTY_LINKS else F.col(name)
+        or_empty(F.col(name)).alias(name) if name in ENTITIES[table].empty else F.col(name)
+        for table, names in FACT_LINKS.items()
         for name in names
     ]
 
@@ -266,46 +257,48 @@ def foreign_key(table: str) -> str:
     return table.removeprefix("dim_") + "_id"
 
 
-def link(rows: DataFrame, tables: Mapping[str, DataFrame], how: str) -> DataFrame:
+def link(rows: DataFrame, keys: Mapping[str, DataFrame], how: str) -> DataFrame:
     """Join the five ids to rows that still hold the `link_columns`.
 
-    A link that goes through an outrigger looks the dimension up by the outrigger's columns. An
-    outrigger tuple is unique, so this finds at most one row, just as a lookup by its id would.
+    The `numbered` rows still hold the natural keys, and being stored tables they have a known
+    size; a join of an entity with its outriggers would be planned as if it were huge.
     """
-    for table, on in FACT_LINKS.items():
-        side, spec = tables[table], ENTITIES[table]
-        theirs = {ours: column.replace(".", "_") for ours, column in on.items()}
-        for foreign, lookup in spec.outriggers.items():
-            through = [column for column in on.values() if column.startswith(f"{lookup}.")]
-            if through:
-                parent = tables[lookup].select(
-                    F.col(OUTRIGGERS[lookup].id).alias(foreign),
-                    *[F.col(c.split(".")[1]).alias(c.replace(".", "_")) for c in through],
-                )
-                side = side.join(parent, foreign)
-        rows = attach_key(rows, side, theirs, "id", how, foreign_key(table))
+    for table, names in FACT_LINKS.items():
+        on = {name: name for name in names}
+        rows = attach_key(rows, keys[table], on, "id", how, foreign_key(table))
     return rows
 
 
-def fact_rows(staging: DataFrame, tables: Mapping[str, DataFrame], strict: bool = False) -> DataFrame:
+def fact_rows(staging: DataFrame, keys: Mapping[str, DataFrame], strict: bool = False) -> DataFrame:
     """The fact without its own id; a row that lacks any of the five dimensions is dropped."""
     measures = [parsed("fact_sales", column, source, strict) for column, source in MEASURES.items()]
     rows = staging.select(*measures, *link_columns())
     ids = [column for column, _ in SNOWFLAKE_TABLES["fact_sales"] if column.endswith("_id")]
-    return link(rows, tables, "inner").select(*MEASURES, *ids)
+    return link(rows, keys, "inner").select(*MEASURES, *ids)
+
+
+def number(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
+    """The stored `numbered` rows of all outriggers and entities."""
+    names = [*ENTITIES, *OUTRIGGERS]
+    rows = workspace.child("picked").store_all(names, lambda name: picked(staging, name))
+    return workspace.child("numbered").store_all(names, lambda name: numbered(rows[name], name))
 
 
-def build(staging: DataFrame, workspace: Workspace, strict: bool = False) -> dict[str, DataFrame]:
+def build(
+    staging: DataFrame,
+    workspace: Workspace,
+    strict: bool = False,
+    keys: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """All twelve tables, stored in the workspace. ``staging`` is scanned once per table.
 
     ``strict=True`` raises on a value that has the right shape but does not fit its type, on
-    a date that does not exist, and so on; by default such a value is NULL.
+    a date that does not exist, and so on; by default such a value is NULL. ``keys`` is the
+    result of `number`, if there is one already.
     """
-    names = [*OUTRIGGERS, *ENTITIES]
-    rows = workspace.child("picked").store_all({name: picked(staging, name) for name in names})
-    tables = workspace.store_all({name: outrigger(rows[name], name) for name in OUTRIGGERS})
-    entities = {name: entity(rows[name], name, tables, strict) for name in ENTITIES}
-    tables |= workspace.store_all(entities)
-    facts = workspace.store("fact_sales", fact_rows(staging, tables, strict))
+    keys = keys or number(staging, workspace)
+    tables = {name: keys[name] for name in OUTRIGGERS}
+    tables |= workspace.store_all(ENTITIES, lambda name: entity(keys, name, strict))
+    facts = workspace.store("fact_sales", fact_rows(staging, keys, strict))
     tables["fact_sales"] = position_id(facts, "id")
     return tables

@@ -161,7 +161,7 @@ def sales_fact(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 def build(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
     """All six tables, stored in the workspace. ``staging`` is scanned once per table."""
-    rows = workspace.child("picked").store_all({name: picked(staging, name) for name in DIMENSIONS})
-    tables = workspace.store_all({name: dimension(rows[name], name) for name in DIMENSIONS})
+    rows = workspace.child("picked").store_all(DIMENSIONS, lambda name: picked(staging, name))
+    tables = workspace.store_all(DIMENSIONS, lambda name: dimension(rows[name], name))
     tables["sales_fact"] = workspace.store("sales_fact", sales_fact(staging, tables))
     return tables

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Jobs submitted at a time by `store_all`; they share the cluster, Spark schedules their tasks.
-CONCURRENT_WRITES = 4
+CONCURRENT_WRITES = 8
 
 #: Keeps files small enough for one scan task each, however coarse the writing tasks were.
 ROWS_PER_FILE = 1_000_000
@@ -45,8 +45,10 @@ class Workspace:
         write.parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
-    def store_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """Store tables that do not depend on each other, a few at a time."""
+    def store_all(
+        self, names: Iterable[str], make: Callable[[str], DataFrame]
+    ) -> dict[str, DataFrame]:
+        """Make and store tables that do not depend on each other, a few at a time."""
+        names = list(names)
         with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-            stored = pool.map(lambda item: self.store(*item), tables.items())
-            return dict(zip(tables, stored))
+            return dict(zip(names, pool.map(lambda name: self.store(name, make(name)), names)))

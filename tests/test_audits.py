@@ -58,8 +58,9 @@ def staging(staging_rows):
 
 
 def test_snowflake_audits(staging, workspace):
-    tables = snowflake.build(staging, workspace)
-    assert found(audits.snowflake_rejects(staging, tables)) == [
+    keys = snowflake.number(staging, workspace)
+    tables = snowflake.build(staging, workspace, keys=keys)
+    assert found(audits.snowflake_rejects(staging, keys)) == [
         ("2", "bad_sale_quantity"), ("2", "no_customer"),
         ("3", "bad_product_rating"), ("3", "bad_sale_date"), ("3", "no_store"),
         ("4", "bad_customer_age"), ("4", "bad_sale_total_price"),

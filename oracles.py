@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from salesmart.fixture import STAGING_SQL
+from salesmart.fixture import STAGING_SQL, TABLES
 
 
 def gint(x):
@@ -50,7 +50,7 @@ def first(keys, columns):
     return f"qualify row_number() over (partition by {keys} order by {order}) = 1"
 
 
-CTES = {"staging": STAGING_SQL}
+CTES = {"staging": STAGING_SQL.format(**{name: name for name in TABLES})}
 
 # ------------------------------------------------------------------ snowflake profile
 

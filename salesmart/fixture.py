@@ -1,6 +1,6 @@
 """Staging rows derived from the TPC-H-like test tables, one per lineitem.
 
-The text below runs unchanged in Spark and in DuckDB. It injects the irregularities that the
+The text below runs in Spark and in DuckDB, its tables being filled in. It injects the irregularities that the
 cleaning rules, the deduplication and the joins have to deal with (see FIXTURES.md).
 """
 
@@ -79,14 +79,14 @@ select
   concat('Addr', cast(s_suppkey % 9 as string))                                    as supplier_address,
   sn.n_name                                                                        as supplier_city,
   sr.r_name                                                                        as supplier_country
-from lineitem
-join orders    on o_orderkey = l_orderkey
-join customer  on c_custkey  = o_custkey
-join nation cn on cn.n_nationkey = c_nationkey
-join part      on p_partkey  = l_partkey
-join supplier  on s_suppkey  = l_suppkey
-join nation sn on sn.n_nationkey = s_nationkey
-join region sr on sr.r_regionkey = sn.n_regionkey
+from {lineitem}
+join {orders}    on o_orderkey = l_orderkey
+join {customer}  on c_custkey  = o_custkey
+join {nation} cn on cn.n_nationkey = c_nationkey
+join {part}      on p_partkey  = l_partkey
+join {supplier}  on s_suppkey  = l_suppkey
+join {nation} sn on sn.n_nationkey = s_nationkey
+join {region} sr on sr.r_regionkey = sn.n_regionkey
 """
 
 
@@ -97,9 +97,7 @@ def staging(spark: SparkSession, folder: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if tables["lineitem"].rdd.getNumPartitions() < cores:
         tables["lineitem"] = tables["lineitem"].repartition(cores)
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(STAGING_SQL).select(*STAGING_COLUMNS)
+    return spark.sql(STAGING_SQL, **tables).select(*STAGING_COLUMNS)
 
 
 def store_staging(spark: SparkSession, folder: str, workspace: Workspace) -> DataFrame:

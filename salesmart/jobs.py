@@ -22,6 +22,11 @@ from salesmart.sources import Database, read_staging_csv, read_table, read_table
 from salesmart.workspace import Workspace
 
 
+def _row_names(staging: DataFrame) -> tuple[str, ...]:
+    """What tells a rejected row: its id and, if known, its file, as ids repeat across files."""
+    return tuple(name for name in ("id", "_source") if name in staging.columns)
+
+
 def run_snowflake(
     staging: DataFrame,
     workspace: Workspace,
@@ -39,7 +44,7 @@ def run_snowflake(
             "audit_fk": audits.fk_violations(tables, SNOWFLAKE_EDGES, SNOWFLAKE_KEYS),
             "audit_pk": audits.pk_violations(tables, SNOWFLAKE_KEYS),
             "audit_lengths": audits.length_violations(tables, SNOWFLAKE_TABLES),
-            "audit_rejects": audits.snowflake_rejects(staging, keys),
+            "audit_rejects": audits.snowflake_rejects(staging, keys, _row_names(staging)),
         }, write_audits)
     return rows
 
@@ -59,7 +64,7 @@ def run_star(
         rows |= save_all({
             "audit_fk": audits.fk_violations(tables, STAR_EDGES, STAR_KEYS),
             "audit_pk": audits.pk_violations(tables, STAR_KEYS),
-            "audit_rejects": audits.star_rejects(staging, tables),
+            "audit_rejects": audits.star_rejects(staging, tables, _row_names(staging)),
         }, write_audits)
     if write_reports:
         rows |= run_reports(tables, workspace, write_reports, ordered)
@@ -118,7 +123,10 @@ def _staging(spark: SparkSession, workspace: Workspace, options: argparse.Namesp
     if options.parquet:
         return spark.read.parquet(options.parquet)
     if options.csv:
-        rows = read_staging_csv(spark, options.csv, options.delimiter, not options.single_line)
+        rows = read_staging_csv(
+            spark, options.csv, options.delimiter, multi_line=not options.single_line,
+            with_source=bool(options.audits_out),
+        )
     else:
         source = Database.from_environment("SALESMART_SOURCE")
         rows = read_table(spark, source, options.jdbc_table, predicates=options.predicates)

@@ -20,7 +20,7 @@ def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if spark.conf.get("spark.master", "local").startswith("local"):
+    if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="salesmart-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 

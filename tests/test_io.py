@@ -167,7 +167,9 @@ def test_star_and_report_jobs(spark, staging_rows, tmp_path, capsys):
     ])
     rows = json.loads(capsys.readouterr().out)
     assert rows["staging_data"] == 2 and rows["sales_fact"] == 2 and rows["customer_dim"] == 2
-    assert rows["audit_rejects"] == 1
+    rejects = spark.read.parquet(str(tmp_path / "audits" / "audit_rejects")).collect()
+    assert [(row.id, row.rule) for row in rejects] == [("2", "no_customer")]
+    assert rejects[0]._source.endswith(".csv")
     jobs.main([
         "reports", "--star", str(tmp_path / "out"), "--reports-out", str(tmp_path / "reports"),
         "--work", str(tmp_path / "work"), "--ordered",

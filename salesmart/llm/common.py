@@ -111,3 +111,19 @@ def let_workers_import(spark) -> None:
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+#: Values that `maybe_among` broadcasts at most: 16 MB, whatever the tables.
+HASH_BUCKETS = 2**20
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``key`` may be among ``keys``; with ``left_anti`` those whose is surely not.
+
+    What is broadcast are bucket numbers of hashed keys, so it has a fixed bound. The answer is
+    inexact: it saves a shuffle of the rows that surely have no partner, and an exact join of the
+    others has to follow.
+    """
+    bucket = F.pmod(F.col(key), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
+    found = F.broadcast(keys.select(bucket).distinct())
+    return rows.withColumn("_bucket", bucket).join(found, "_bucket", how).drop("_bucket")

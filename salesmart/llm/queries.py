@@ -47,20 +47,22 @@ OP4_SQL = r"""
     FROM listed LEFT JOIN loss USING (conv_id)
 """
 
-OP5_SQL = r"""
+_NEXT = ", ".join(f"lead(word, {n}) OVER text" for n in range(1, 20))
+OP5_SQL = rf"""
     WITH words AS (
         SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
         FROM documents
+    ), placed AS (
+        SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words
     ), windows AS (
-        SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS window_text
-        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+        SELECT doc_id, place, concat_ws(' ', word, {_NEXT}) AS window_text,
+               lead(word, 19) OVER text IS NOT NULL AS whole
+        FROM placed WINDOW text AS (PARTITION BY doc_id ORDER BY place)
     ), again AS (
-        SELECT doc_id, i FROM windows
-        QUALIFY row_number() OVER (PARTITION BY window_text ORDER BY doc_id, i) > 1
+        SELECT doc_id, place FROM windows WHERE whole
+        QUALIFY row_number() OVER (PARTITION BY window_text ORDER BY doc_id, place) > 1
     ), gone AS (
-        SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS place FROM again
-    ), placed AS (
-        SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words
+        SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM again
     ), kept AS (
         SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
         FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id

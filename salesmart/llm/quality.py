@@ -30,8 +30,9 @@ BUCKETS = 10_000
 #: Beyond it those with the smallest hashed ids are taken. Their ids are broadcast, 16 bytes each.
 TARGET_DOCS = 100_000
 
-#: Added to each feature's count in both multinomials.
-SMOOTHING = 1.0
+#: Added to each feature's count in both multinomials, after the raw one is scaled to the size of
+#: the target: features seen a few times say little, so a small corpus rejects little.
+SMOOTHING = 5.0
 
 #: Documents whose mean log ratio is below this are rejected. Clean prose scores about 0 or above.
 THRESHOLD = -0.05
@@ -83,10 +84,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, most: int = TARGET_DOCS) -> l
     target_total = sum(target for _, target in found.values())
     if not target_total:
         return [0.0] * BUCKETS
-    shift = log((raw_total + SMOOTHING * BUCKETS) / (target_total + SMOOTHING * BUCKETS))
+    scale = target_total / raw_total
     pairs = (found.get(bucket, (0, 0)) for bucket in range(BUCKETS))
     return [
-        round(log((target + SMOOTHING) / (raw + SMOOTHING)) + shift, 5) for raw, target in pairs
+        round(log((target + SMOOTHING) / (raw * scale + SMOOTHING)), 5) for raw, target in pairs
     ]
 
 

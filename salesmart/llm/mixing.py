@@ -135,10 +135,10 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
 
     sums = Window.orderBy("source_no")
     total = F.sum("target").over(Window.partitionBy())
-    high = F.sum("target").over(sums) / total
-    low = F.coalesce(
+    high = F.try_divide(F.sum("target").over(sums), total)
+    low = F.try_divide(F.coalesce(
         F.sum("target").over(sums.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-    ) / total
+    ), total)
     spans = wanted.where("target > 0").select("source_no", low.alias("_low"), high.alias("_high"))
     cells = spans.withColumn("_cell", F.explode(F.sequence(
         F.floor(F.col("_low") * CELLS).cast("bigint"),
@@ -185,7 +185,8 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
     A source's stream repeats until its target is filled, at most `MOST_REPEATS` times.
     """
     quota = F.floor("target").cast("bigint")
-    rounds = F.ceil(quota / F.col("source_size")).cast("int")
+    # A source without words has no quota; its documents are left out, in whatever order.
+    rounds = F.ceil(F.try_divide(quota, F.col("source_size"))).cast("int")
     over = placed.where("size > 0 AND target >= 1").withColumn(
         "_round", F.explode(F.sequence(F.lit(0), rounds - 1))
     ).withColumn("_from", F.col("_round") * F.col("source_size") + F.col("begin"))
@@ -222,7 +223,7 @@ def mixed(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFram
 def repeated(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
     """``docs``, each row as often as the mix takes it: ``taken / size``, rounded."""
     mix = mixed(docs, workspace, block).groupBy("_key", "_key2").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_times")
+        F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times")
     )
     keyed = docs.withColumns(_keys(docs))
     return keyed.join(mix.where("_times > 0"), ["_key", "_key2"]).withColumn(

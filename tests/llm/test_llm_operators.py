@@ -69,8 +69,9 @@ def test_quality_measures_equal_brute_force(documents, labels, odd_rows):
 
 
 def test_quality_keeps_prose_and_rejects_junk(documents, labels):
-    good = [(i, prose(i), "s1") for i in range(60)]
-    junk = [(100 + i, " ".join(f"{w}#$%" for w in prose(i).split()), "s1") for i in range(5)]
+    good = [(i, prose(i, 120, 60), "s1") for i in range(60)]
+    junk = [(100 + i, " ".join(f"{w}#$%" for w in prose(i, 120, 60).split()), "s1")
+            for i in range(5)]
     docs = documents(*good, *junk)
     truth = labels(*[(i, 1, 0) for i in range(0, 60, 2)], *[(100 + i, 0, 0) for i in range(5)],
                    (None, 1, 0), (3, None, None))
@@ -377,6 +378,8 @@ def test_mix_takes_its_targets(documents, workspace, odd_rows):
     repeated = mixing.repeated(docs, workspace.child("repeated"))
     assert repeated.columns == docs.columns and repeated.count() > 0
     assert mixing.mixed(docs.limit(0), workspace.child("none")).count() == 0
+    bare = mixing.mixed(documents((1, None, "s"), (2, "", None)), workspace.child("bare"))
+    assert [row.taken for row in bare.collect()] == [0, 0]
 
 
 def test_schedule_is_close_to_the_weights_everywhere(spark, workspace):

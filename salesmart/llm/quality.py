@@ -166,7 +166,11 @@ def verdicts(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that pass, with all their columns."""
-    return judged(docs, labels, threshold).where("_quality.kept").drop("_quality")
+    # A column that is not deterministic keeps Spark from pushing the filter below the steps that
+    # compute the verdict, which would write each step out in every place that uses it.
+    rows = judged(docs, labels, threshold).withColumn("_row", F.monotonically_increasing_id())
+    kept = rows.where(F.col("_quality.kept") & (F.col("_row") >= 0))
+    return kept.select(*[kept[f"`{name}`"] for name in docs.columns])
 
 
 def op1_quality(spark, folder: str) -> DataFrame:

@@ -36,7 +36,7 @@ def ldbl(x):
 
 
 def cash(x):
-    return f"try_cast({x} as decimal(18,2))"
+    return f"try_cast({x} as decimal(28,8))"
 
 
 def dense(*keys):
@@ -267,7 +267,7 @@ def sql(final: str) -> str:
 
 # ---------------------------------------------------------------------------- reports
 
-TOTAL = "cast(sum(f.total_price) as decimal(38,2))"
+TOTAL = "cast(sum(f.total_price) as decimal(38,8))"
 UNITS = "cast(sum(f.quantity) as bigint)"
 CHECK = ("cast(sum(f.total_price) as double) / nullif(count(f.total_price), 0)")
 PRODUCT = "from b_fact f join b_product d on d.product_id = f.product_id"
@@ -290,7 +290,7 @@ REPORTS = {
     "products_revenue_by_category": f"""
         select d.category, {TOTAL} as total_revenue {PRODUCT} group by d.category""",
     "products_avg_rating": f"""
-        select d.name, d.category, cast(sum(cast(d.rating as decimal(20,6))) as double)
+        select d.name, d.category, cast(sum(cast(d.rating as decimal(24,12))) as double)
                / nullif(count(d.rating), 0) as avg_rating
         {PRODUCT} group by d.name, d.category""",
     "customers_top10": f"""
@@ -326,7 +326,7 @@ REPORTS = {
         select d.name, d.country, {TOTAL} as total_revenue
         {SUPPLIER} group by d.name, d.country {top('total_revenue', 'd.name d.country', 5)}""",
     "suppliers_avg_price": f"""
-        select d.name, cast(sum(cast(p.price as decimal(20,6))) as double)
+        select d.name, cast(sum(cast(p.price as decimal(24,12))) as double)
                / nullif(count(p.price), 0) as avg_product_price
         {SUPPLIER} join b_product p on p.product_id = f.product_id group by d.name""",
     "suppliers_by_country": f"""

@@ -68,5 +68,6 @@ def loose_double(column: Column) -> Column:
 
 
 def money(column: Column) -> Column:
-    """Signed amount with cents. A decimal, so that sums do not depend on the order of rows."""
-    return column.try_cast("decimal(18,2)")
+    """Signed amount, exact to eight decimals. A decimal, so that sums do not depend on the order
+    of rows."""
+    return column.try_cast("decimal(28,8)")

@@ -32,22 +32,38 @@ def fk_violations(
 ) -> DataFrame:
     """(edge, n): rows whose non-null foreign key has no parent.
 
-    The child is reduced to one row per foreign key before the anti join, so neither the size
-    of a fact nor a hot key reaches it.
+    Every child is scanned once: its keys become (edge, key) pairs, which are reduced to one row
+    per pair before the join, so neither the size of a fact nor a hot key reaches it.
     """
-    parts = []
+    by_child: dict[str, list[tuple[str, str]]] = {}
     for child, column, parent in edges:
-        foreign = F.col(column).alias("key")
-        used = (
-            tables[child].where(F.col(column).isNotNull())
-            .groupBy(foreign).agg(F.count(F.lit(1)).alias("rows"))
+        by_child.setdefault(child, []).append((column, parent))
+    parts = []
+    for child, links in by_child.items():
+        pairs = F.inline(F.array(*[
+            F.struct(F.lit(f"{child}.{column}").alias("edge"),
+                     F.col(column).cast("bigint").alias("key"))
+            for column, _ in links
+        ]))
+        used = tables[child].select(pairs).groupBy("edge", "key").agg(
+            F.count("key").alias("rows")
         )
-        known = tables[parent].select(F.col(keys[parent]).alias("key"))
-        orphans = used.join(known, "key", "left_anti")
-        parts.append(
-            orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
-            .select(F.lit(f"{child}.{column}").alias("edge"), "n")
+        known = _union(
+            tables[parent].select(F.lit(f"{child}.{column}").alias("edge"),
+                                  F.col(keys[parent]).cast("bigint").alias("key"),
+                                  F.lit(True).alias("known"))
+            for column, parent in links
+        )
+        orphans = F.when(F.col("known").isNull(), F.col("rows")).otherwise(0)
+        found = used.join(known, ["edge", "key"], "left").groupBy("edge").agg(
+            F.sum(orphans).alias("n")
         )
+        # An edge of an empty child has no rows; it still is in the report.
+        names = F.array(*[F.lit(f"{child}.{column}") for column, _ in links])
+        every = tables[child].sparkSession.range(1).select(F.explode(names).alias("edge"))
+        parts.append(every.join(F.broadcast(found), "edge", "left").select(
+            "edge", F.coalesce("n", F.lit(0)).alias("n")
+        ))
     return _union(parts)
 
 

@@ -24,7 +24,7 @@ ROLLUP_KEYS = {
     "supplier_product": ["supplier_id", "product_id"],
 }
 
-MONEY = "decimal(38,2)"
+MONEY = "decimal(38,8)"
 
 
 def _measures(prices: Column) -> list[Column]:
@@ -90,11 +90,14 @@ def _average_per_sale(attribute: str, name: str) -> Column:
     """Mean of a dimension attribute over the sales, i.e. weighted by the number of sales.
 
     The attribute is a double, whose sum would depend on the order of the rows. It is summed as
-    a decimal, unless the group holds a value that does not fit one.
+    a decimal where that loses nothing: where every value of the group is the same as a decimal.
     """
-    value, exact = F.col(attribute), F.col(attribute).try_cast("decimal(20,6)")
-    misfits = F.count_if(value.isNotNull() & exact.isNull())
-    total = F.when(misfits == 0, F.sum(exact * F.col("sales")).cast("double"))
+    value, exact = F.col(attribute), F.col(attribute).try_cast("decimal(24,12)")
+    same = F.coalesce(exact.cast("double") == value, F.lit(False))
+    misfits = F.count_if(value.isNotNull() & ~same)
+    # A factor without decimals keeps all twelve of the product.
+    sales = F.col("sales").cast("decimal(12,0)")
+    total = F.when(misfits == 0, F.sum(exact * sales).cast("double"))
     total = total.otherwise(F.sum(value * F.col("sales")))
     known = F.sum(F.when(value.isNotNull(), F.col("sales")))
     return F.try_divide(total, known).alias(name)

@@ -128,7 +128,7 @@ STAR_TABLES = {
     "sales_fact": [
         ("customer_id", "bigint"), ("seller_id", "bigint"), ("product_id", "bigint"),
         ("store_id", "bigint"), ("supplier_id", "bigint"), ("sale_date", "date"),
-        ("quantity", "int"), ("total_price", "decimal(18,2)"),
+        ("quantity", "int"), ("total_price", "decimal(28,8)"),
     ],
 }
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -20,8 +19,9 @@ def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="salesmart-")
+    # One process reads and writes all, so the warehouse folder is shared by definition.
+    if spark.conf.get("spark.master", "").split("[")[0] == "local":
+        return spark.conf.get("spark.sql.warehouse.dir")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

@@ -85,3 +85,12 @@ def test_star_audits(staging, workspace):
     assert found(counts) == [
         ("star", "bad_customer_age", 1), ("star", "bad_sale_date", 1), ("star", "no_customer", 1)
     ]
+
+
+def test_each_child_is_scanned_once_for_all_its_edges(spark, workspace):
+    child = workspace.store("child", spark.sql("SELECT id a, id + 1 b FROM range(5)"))
+    tables = {"child": child, "p": spark.range(5), "q": spark.range(3)}
+    edges = [("child", "a", "p"), ("child", "b", "q")]
+    found = audits.fk_violations(tables, edges, {"p": "id", "q": "id"})
+    assert {row.edge: row.n for row in found.collect()} == {"child.a": 0, "child.b": 3}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1

@@ -67,7 +67,8 @@ def test_loose_double(spark):
 
 def test_money(spark):
     expected = {
-        "1.5": Decimal("1.50"), "-1.00": Decimal("-1.00"), "12.345": Decimal("12.35"),
+        "1.5": Decimal("1.5"), "-1.00": Decimal("-1"), "12.345": Decimal("12.345"),
+        "0.000000015": Decimal("0.00000002"),
         "free": None, "": None, None: None,
     }
     assert evaluate(spark, clean.money, list(expected)) == expected

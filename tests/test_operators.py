@@ -168,3 +168,15 @@ def test_hot_and_null_keys_are_split(spark, workspace, hot):
     hot_id = 0 if "NULL" in hot else 8
     assert total == sum(hot_id if i % 3 == 0 else i % 2000 + 1 for i in range(60000))
     assert "skew=true" in text
+
+
+def test_position_id_moves_no_row_of_the_fact(spark, workspace):
+    stored = workspace.store("fact", spark.range(1000).repartition(3).withColumnRenamed("id", "v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = position_id(stored, "id")
+        text = plan(numbered)
+        assert "SortMergeJoin" not in text and "hashpartitioning(v" not in text
+        assert sorted(row.id for row in numbered.collect()) == list(range(1, 1001))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -182,3 +182,15 @@ def test_ordered_reports_are_sorted(mart):
     rows = reports.report(mart, "suppliers_avg_price", ordered=True).collect()
     averages = [row.avg_product_price for row in rows]
     assert averages == sorted(averages, reverse=True)
+
+
+def test_averages_keep_all_digits(staging_rows, workspace):
+    tables = star.build(staging_rows(
+        {"product_rating": "4.1234567", "product_price": "0.0000004"},
+        {"id": "2", "product_name": "Bat", "product_rating": "4.1234567", "product_price": "9.5"},
+    ), workspace)
+    mart = reports.Mart(tables)
+    ratings = rows_of(reports.report(mart, "products_avg_rating"), "avg_rating")
+    assert ratings == [(4.1234567,), (4.1234567,)]
+    prices = rows_of(reports.report(mart, "suppliers_avg_price"), "avg_product_price")
+    assert prices == [(4.7500002,)]

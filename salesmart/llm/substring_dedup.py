@@ -32,7 +32,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.block import BASE, ODD, Block
-from salesmart.llm.common import by_weight, flat, mix64, or_empty, with_columns, word_hashes
+from salesmart.llm.common import (
+    by_weight,
+    flat,
+    maybe_among,
+    mix64,
+    or_empty,
+    with_columns,
+    word_hashes,
+)
+from salesmart.workspace import Workspace
 
 #: Words in a window.
 WINDOW = 20
@@ -292,13 +301,24 @@ def _sent(batch: pa.RecordBatch, size: int, rounds: int, again: np.ndarray, bits
     )
 
 
-def without_repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, n_words, n_removed, text): the words that are left, joined by one space."""
+def without_repeats(
+    docs: DataFrame, workspace: Workspace | None = None, size: int = WINDOW, rounds: int = ROUNDS
+) -> DataFrame:
+    """(doc_id, n_words, n_removed, text): the words that are left, joined by one space.
+
+    Only texts that may lose words are shuffled to meet their spans.
+    """
+    workspace = workspace or Workspace(docs.sparkSession)
     rows = with_columns(docs, DOCUMENT).withColumn("text", or_empty(F.col("text")))
     rows = rows.withColumn("_text_key", F.xxhash64(F.lit("text"), "text"))
-    found = repeats(docs, size, rounds)
-    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["_text_key"] == found["_text_key"])
-    joined = rows.join(found, same, "left").select(rows["doc_id"], rows["text"], "spans")
+    found = workspace.store("spans", repeats(docs, size, rounds))
+    whole = maybe_among(rows, found, "_text_key", "left_anti").select(
+        "doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans")
+    )
+    some = maybe_among(rows, found, "_text_key")
+    same = some["doc_id"].eqNullSafe(found["doc_id"]) & (some["_text_key"] == found["_text_key"])
+    joined = some.join(found, same, "left").select(some["doc_id"], some["text"], "spans")
+    joined = joined.unionByName(whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ from salesmart.schemas import (
     STAR_TABLES,
 )
 from salesmart.sinks import Writer, save_all, to_database, to_folder
-from salesmart.sources import Database, read_staging_csv, read_table, read_tables
+from salesmart.sources import Database, Ranges, read_staging_csv, read_table, read_tables
 from salesmart.workspace import Workspace
 
 
@@ -79,6 +79,17 @@ def run_reports(
     return save_all({f"report_{name}": table for name, table in built.items()}, write)
 
 
+def _bound(text: str) -> int | str:
+    """A whole number or, as text, a date."""
+    return int(text) if text.lstrip("-").isdigit() else text
+
+
+def table_ranges(text: str) -> tuple[str, Ranges]:
+    """``table:column:lower:upper:tasks``, how a table of a database is split for reading."""
+    table, column, lower, upper, tasks = text.split(":")
+    return table, Ranges(column, _bound(lower), _bound(upper), int(tasks))
+
+
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(
         prog="salesmart", description=__doc__,
@@ -106,6 +117,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     source = command.add_mutually_exclusive_group(required=True)
     source.add_argument("--star", help="folder of the star tables")
     source.add_argument("--star-jdbc", action="store_true", help="from the source database")
+    command.add_argument("--ranges", nargs="*", type=table_ranges, default=[],
+                         metavar="TABLE:COLUMN:LOWER:UPPER:TASKS",
+                         help="split of the JDBC scan of a table, e.g. sales_fact, by a number "
+                         "or date column; other tables are read by one task")
     for name in ("star", "reports"):
         target = commands.choices[name].add_mutually_exclusive_group(required=name == "reports")
         target.add_argument("--reports-out", help="folder for the reports")
@@ -114,7 +129,12 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         commands.choices[name].add_argument("--ordered", action="store_true",
                                             help="sort the reports that have no limit")
     for command in commands.choices.values():
-        command.add_argument("--work", help="shared folder for intermediate tables")
+        command.add_argument("--work", help="shared folder for intermediate tables, which then "
+                             "stay; by default they are removed at the end")
+        command.add_argument("--connections", type=int, default=8, help="of a JDBC sink")
+        command.add_argument("--batch-size", type=int, default=10_000, help="of a JDBC sink")
+        command.add_argument("--table-options",
+                             help="appended to CREATE TABLE by a JDBC sink, e.g. a table engine")
     return parser.parse_args(argv)
 
 
@@ -138,10 +158,11 @@ def _star_tables(
 ) -> dict[str, DataFrame]:
     if options.star:
         return read_tables(spark, options.star, STAR_TABLES)
-    source = Database.from_environment("SALESMART_SOURCE")
+    source, ranges = Database.from_environment("SALESMART_SOURCE"), dict(options.ranges)
     # Copied once: the reports then neither query the database again nor guess table sizes.
     return workspace.child("copy").store_all(
-        STAR_TABLES, lambda name: read_table(spark, source, name)
+        [name for name in STAR_TABLES if name != "seller_dim"],  # no report reads it
+        lambda name: read_table(spark, source, name, ranges=ranges.get(name)),
     )
 
 
@@ -149,28 +170,36 @@ def main(argv: Sequence[str] | None = None) -> None:
     options = _arguments(argv)
     spark = SparkSession.builder.appName("salesmart").getOrCreate()
     workspace = Workspace(spark, options.work)
+    try:
+        rows = _run(spark, workspace, options)
+    finally:
+        if not options.work:
+            workspace.remove()
+    print(json.dumps(rows, indent=2))
+
 
+def _run(
+    spark: SparkSession, workspace: Workspace, options: argparse.Namespace
+) -> dict[str, int]:
     def writer(folder: str | None, to_jdbc: bool, prefix: str) -> Writer | None:
         if to_jdbc:
-            return to_database(Database.from_environment(prefix))
+            return to_database(
+                Database.from_environment(prefix), connections=options.connections,
+                batch_size=options.batch_size, create_table_options=options.table_options,
+            )
         return to_folder(folder) if folder else None
 
     if options.command != "snowflake":
         write_reports = writer(options.reports_out, options.reports_jdbc, "SALESMART_REPORTS")
     if options.command == "reports":
         tables = _star_tables(spark, workspace, options)
-        rows = run_reports(tables, workspace, write_reports, options.ordered)
-    else:
-        staging = _staging(spark, workspace, options)
-        write = writer(options.out, options.out_jdbc, "SALESMART_TARGET")
-        write_audits = writer(options.audits_out, False, "")
-        if options.command == "star":
-            rows = run_star(
-                staging, workspace, write, write_reports, write_audits, options.ordered
-            )
-        else:
-            rows = run_snowflake(staging, workspace, write, write_audits, options.strict)
-    print(json.dumps(rows, indent=2))
+        return run_reports(tables, workspace, write_reports, options.ordered)
+    staging = _staging(spark, workspace, options)
+    write = writer(options.out, options.out_jdbc, "SALESMART_TARGET")
+    write_audits = writer(options.audits_out, False, "")
+    if options.command == "star":
+        return run_star(staging, workspace, write, write_reports, write_audits, options.ordered)
+    return run_snowflake(staging, workspace, write, write_audits, options.strict)
 
 
 if __name__ == "__main__":

@@ -189,6 +189,13 @@ MEASURES = {
 }
 
 
+def within_limit(text: Column, sql_type: str) -> Column:
+    """The text; it raises where it is longer than a varchar type allows."""
+    limit = int(sql_type[len("varchar("):-1])
+    error = F.raise_error(F.lit(f"a value is longer than {sql_type}"))
+    return F.when(F.length(text) > limit, error).otherwise(text)
+
+
 def parsed(table: str, column: str, source: str, strict: bool = False) -> Column:
     """Staging text as the type that ``table`` declares for ``column``."""
     sql_type = dict(SNOWFLAKE_TABLES[table])[column]
@@ -200,6 +207,8 @@ def parsed(table: str, column: str, source: str, strict: bool = False) -> Column
     elif sql_type.startswith("decimal"):
         precision, scale = sql_type[len("decimal("):-1].split(",")
         text = guarded_decimal(text, int(precision), int(scale), strict)
+    elif sql_type.startswith("varchar") and strict:
+        text = within_limit(text, sql_type)
     return text.alias(column)
 
 
@@ -231,6 +240,14 @@ def numbered(picked_rows: DataFrame, name: str) -> DataFrame:
     return dense_id(picked_rows, ENTITIES[name].keys, "id")
 
 
+def checked_outrigger(rows: DataFrame, name: str) -> DataFrame:
+    """The `numbered` rows of an outrigger; text beyond its declared length raises."""
+    return rows.select(*[
+        parsed(name, column, column, strict=True) if column in OUTRIGGERS[name].columns else column
+        for column in rows.columns
+    ])
+
+
 def entity(
     keys: Mapping[str, DataFrame], name: str, strict: bool = False
 ) -> DataFrame:
@@ -293,11 +310,16 @@ def build(
     """All twelve tables, stored in the workspace. ``staging`` is scanned once per table.
 
     ``strict=True`` raises on a value that has the right shape but does not fit its type, on
-    a date that does not exist, and so on; by default such a value is NULL. ``keys`` is the
-    result of `number`, if there is one already.
+    a date that does not exist, and so on; by default such a value is NULL, and text beyond its
+    declared length stays and is left to the audit. ``keys`` is the result of `number`, if there
+    is one already.
     """
     keys = keys or number(staging, workspace)
     tables = {name: keys[name] for name in OUTRIGGERS}
+    if strict:
+        tables = workspace.child("checked").store_all(
+            OUTRIGGERS, lambda name: checked_outrigger(keys[name], name)
+        )
     tables |= workspace.store_all(ENTITIES, lambda name: entity(keys, name, strict))
     facts = workspace.store("fact_sales", fact_rows(staging, keys, strict))
     tables["fact_sales"] = position_id(facts, "id")

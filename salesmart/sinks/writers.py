@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,6 +17,10 @@ Writer = Callable[[str, DataFrame], None]
 
 
 def write_parquet(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """One folder per value of ``partition_by``. Its rows meet before the write, so that not every
+    task writes a file to every folder; adaptive execution splits a large folder's share."""
+    if partition_by:
+        table = table.hint("rebalance", *map(F.col, partition_by))
     table.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -31,12 +36,24 @@ def write_typed_table(
     table: DataFrame, name: str, columns: Sequence[tuple[str, str]], location: str | None = None
 ) -> None:
     """Catalog table with declared types. A value that exceeds its varchar limit or decimal
-    precision fails the write."""
+    precision fails the write.
+
+    The rows go to a new table, in a folder of its own under ``location``, that takes over the
+    name once all are written: after a failed write the old table is still there. Files of an
+    old table with a location stay until they are removed by hand.
+    """
     spark = table.sparkSession
-    where = f" LOCATION '{location}'" if location else ""
+    unique = uuid.uuid4().hex
+    fresh = f"{name}_{unique}"
+    where = f" LOCATION '{location.rstrip('/')}/{unique}'" if location else ""
+    spark.sql(f"CREATE TABLE {fresh} ({ddl(list(columns))}) USING parquet{where}")
+    try:
+        table.select(*[column for column, _ in columns]).write.insertInto(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE {fresh}")
+        raise
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl(list(columns))}) USING parquet{where}")
-    table.select(*[column for column, _ in columns]).write.insertInto(name, overwrite=True)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
 def write_jdbc(

@@ -45,6 +45,11 @@ class Workspace:
         write.parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Delete the folder with all its tables, when nothing reads them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def store_all(
         self, names: Iterable[str], make: Callable[[str], DataFrame]
     ) -> dict[str, DataFrame]:

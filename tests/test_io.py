@@ -2,6 +2,7 @@
 
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
@@ -79,7 +80,9 @@ def test_save_all_counts_rows_while_writing(spark, tmp_path):
 
 def test_partitioned_write_prunes(spark, tmp_path):
     path = str(tmp_path / "fact")
-    sinks.write_parquet(spark.range(10).selectExpr("id", "id % 3 AS year"), path, ["year"])
+    rows = spark.range(10, numPartitions=5).selectExpr("id", "id % 3 AS year")
+    sinks.write_parquet(rows, path, ["year"])
+    assert len(list((tmp_path / "fact").glob("year=*/part-*"))) == 3
     year = spark.read.parquet(path).where("year = 1")
     assert "PartitionFilters: [isnotnull(year" in year._jdf.queryExecution().executedPlan().toString()
     assert year.count() == 3
@@ -93,6 +96,12 @@ def test_typed_table_enforces_limits(spark, tmp_path):
     long = spark.createDataFrame([(1, "a" * 201)], "category_id long, name string")
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         sinks.write_typed_table(long, "typed_category", columns, str(tmp_path / "long"))
+    assert spark.table("typed_category").collect() == [(1, "a" * 200)]  # the old rows are there
+    assert [t.name for t in spark.catalog.listTables() if "typed_category" in t.name] == [
+        "typed_category"]
+    sinks.write_typed_table(good.selectExpr("category_id + 1 AS category_id", "name"),
+                            "typed_category", columns)
+    assert spark.table("typed_category").first().category_id == 2
     wide = spark.sql("SELECT CAST(12345678901.5 AS decimal(20,2)) AS total")
     with pytest.raises(Exception, match="CAST_OVERFLOW|NUMERIC_VALUE_OUT_OF_RANGE"):
         sinks.write_typed_table(wide, "typed_total", [("total", "decimal(12,2)")],
@@ -180,6 +189,44 @@ def test_star_and_report_jobs(spark, staging_rows, tmp_path, capsys):
     assert [tuple(row) for row in yearly.collect()] == [(2021, Decimal("38.00"), 2)]
 
 
+def test_jobs_with_databases(spark, staging_rows, tmp_path, monkeypatch, capsys):
+    """Reports from and to a database that is faked: what is read, how it is split and written."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    tables = star.build(staging_rows({"id": "1"}, {"id": "2"}),
+                        Workspace(spark, str(tmp_path / "star")))
+    before = set(shared.glob("salesmart-*"))
+    for prefix in ("SOURCE", "TARGET", "REPORTS"):
+        monkeypatch.setenv(f"SALESMART_{prefix}_URL", f"jdbc:{prefix.lower()}")
+    read, written = {}, []
+
+    def fake_read(self, url, table, **options):
+        assert url == "jdbc:source"
+        read[table] = options
+        return tables[table] if table in tables else staging_rows({"id": "1"})
+
+    def fake_write(table, database, name, **options):
+        written.append((database.url, name, table.count(), options))
+        table.write.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", fake_read)
+    monkeypatch.setattr(sinks.writers, "write_jdbc", fake_write)
+    jobs.main(["reports", "--star-jdbc", "--ranges", "sales_fact:sale_id:1:100:4",
+               "customer_dim:customer_id:1:9:2", "--reports-jdbc", "--connections", "3",
+               "--batch-size", "50", "--table-options", "ENGINE = X"])
+    assert set(read) == {"customer_dim", "product_dim", "store_dim", "supplier_dim", "sales_fact"}
+    assert read["sales_fact"]["numPartitions"] == 4 and read["customer_dim"]["upperBound"] == 9
+    assert "numPartitions" not in read["store_dim"]
+    assert len(written) == 18 and {url for url, *_ in written} == {"jdbc:reports"}
+    assert written[0][-1] == {
+        "connections": 3, "batch_size": 50, "create_table_options": "ENGINE = X"}
+    written.clear()
+    jobs.main(["star", "--jdbc-table", "staging_data", "--predicates", "id < 'm'", "id >= 'm'",
+               "--out-jdbc"])
+    assert read["staging_data"]["predicates"] == ["id < 'm'", "id >= 'm'"]
+    assert {name: n for _, name, n, _ in written}["sales_fact"] == 1
+    assert set(shared.glob("salesmart-*")) == before  # a job removes its intermediate tables
+
+
 def test_snowflake_job(spark, staging_rows, tmp_path, capsys):
     staging = staging_rows({"id": "1"}, {"id": "2", "customer_email": None})
     staging.write.parquet(str(tmp_path / "staging"))

@@ -115,6 +115,14 @@ def test_strict_build_raises(staging_rows, workspace):
         snowflake.build(staging, workspace, strict=True)
 
 
+@pytest.mark.parametrize("column", ["product_category", "customer_first_name"])
+def test_strict_build_raises_on_long_text(staging_rows, workspace, column):
+    staging = staging_rows({column: "a" * 5000})
+    assert snowflake.build(staging, workspace.child("lenient"))["fact_sales"].count() == 1
+    with pytest.raises(Exception, match="longer than varchar"):
+        snowflake.build(staging, workspace, strict=True)
+
+
 @pytest.fixture
 def mart(staging_rows, workspace):
     tables = star.build(staging_rows(

@@ -471,6 +471,7 @@ def oracle_sql() -> dict[str, str]:
     finals = {
         "staging_rows": "select * from staging",
         "csv_roundtrip": "select * from staging",
+        "csv_several_files": "select *, true as from_file from staging",
         "clean_guarded": f"""
             select id, {gint('customer_age')} as age, {gdec('product_price', 10, 2)} as price,
                    {gdec('product_rating', 3, 1)} as rating, {gint('sale_quantity')} as quantity,
@@ -493,6 +494,10 @@ def oracle_sql() -> dict[str, str]:
     finals |= {
         f"rpt_{i:02d}_{name}": text for i, (name, text) in enumerate(REPORTS.items(), start=1)
     }
+    finals["reports_job"] = " union all ".join(
+        f"select '{name}' as report, count(*) as n, cast(0 as bigint) as out_of_order from ({text})"
+        for name, text in REPORTS.items()
+    )
     finals |= {
         "audit_table_counts": COUNTS,
         "audit_fk": FK,

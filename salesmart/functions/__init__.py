@@ -1,4 +1,5 @@
 from salesmart.functions.cleaning import (
+    broken_rules,
     guarded_decimal,
     guarded_int,
     loose_double,
@@ -6,10 +7,11 @@ from salesmart.functions.cleaning import (
     money,
     not_blank,
     or_empty,
+    unusable,
     us_date,
 )
 
 __all__ = [
-    "guarded_decimal", "guarded_int", "loose_double", "loose_int", "money",
-    "not_blank", "or_empty", "us_date",
+    "broken_rules", "guarded_decimal", "guarded_int", "loose_double", "loose_int", "money",
+    "not_blank", "or_empty", "unusable", "us_date",
 ]

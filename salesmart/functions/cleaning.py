@@ -32,6 +32,16 @@ def not_blank(column: Column) -> Column:
     return column.isNotNull() & (column != "")
 
 
+def unusable(parsed: Column, source: str) -> Column:
+    """Text was given in the column ``source`` but no value came out of it."""
+    return not_blank(F.col(source)) & parsed.isNull()
+
+
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """The names of the rules that hold, as an array."""
+    return F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+
+
 def _cast(column: Column, sql_type: str, strict: bool) -> Column:
     return column.cast(sql_type) if strict else column.try_cast(sql_type)
 

@@ -27,24 +27,36 @@ def _row_names(staging: DataFrame) -> tuple[str, ...]:
     return tuple(name for name in ("id", "_source") if name in staging.columns)
 
 
+def _row_counts(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    return {row["table"]: row["n"] for row in audits.table_counts(tables).collect()}
+
+
 def run_snowflake(
     staging: DataFrame,
     workspace: Workspace,
-    write: Writer,
+    write: Writer | Workspace,
     write_audits: Writer | None = None,
     strict: bool = False,
 ) -> dict[str, int]:
-    """Build and write the twelve snowflake tables; returns rows per table, staging included."""
-    space = workspace.child("snowflake")
+    """Build and write the twelve snowflake tables; returns rows per table, staging included.
+
+    Given a `Workspace` to write to, the tables are stored there at once instead of being copied.
+    """
+    space, kept = workspace.child("snowflake"), _row_names(staging)
     keys = snowflake.number(staging, space)
-    tables = snowflake.build(staging, space, strict, keys)
-    rows = {"staging_raw": staging.count(), **save_all(tables, write)}
+    linked = (
+        space.store("linked", snowflake.linked(staging, keys, kept)) if write_audits else None
+    )
+    target = write if isinstance(write, Workspace) else None
+    tables = snowflake.build(staging, space, strict, keys, linked, target)
+    saved = _row_counts(tables) if target else save_all(tables, write)
+    rows = {"staging_raw": staging.count(), **saved}
     if write_audits:
         rows |= save_all({
             "audit_fk": audits.fk_violations(tables, SNOWFLAKE_EDGES, SNOWFLAKE_KEYS),
             "audit_pk": audits.pk_violations(tables, SNOWFLAKE_KEYS),
             "audit_lengths": audits.length_violations(tables, SNOWFLAKE_TABLES),
-            "audit_rejects": audits.snowflake_rejects(staging, keys, _row_names(staging)),
+            "audit_rejects": audits.snowflake_rejects(linked, kept),
         }, write_audits)
     return rows
 
@@ -52,19 +64,27 @@ def run_snowflake(
 def run_star(
     staging: DataFrame,
     workspace: Workspace,
-    write: Writer,
+    write: Writer | Workspace,
     write_reports: Writer | None = None,
     write_audits: Writer | None = None,
     ordered: bool = False,
 ) -> dict[str, int]:
-    """Build and write the six star tables and, if wanted, the eighteen reports on them."""
-    tables = star.build(staging, workspace.child("star"))
-    rows = {"staging_data": staging.count(), **save_all(tables, write)}
+    """Build and write the six star tables and, if wanted, the eighteen reports on them.
+
+    Given a `Workspace` to write to, the tables are stored there at once instead of being copied.
+    """
+    space, kept = workspace.child("star"), _row_names(staging)
+    target = write if isinstance(write, Workspace) else None
+    dims = star.dimensions(staging, space, target)
+    linked = space.store("linked", star.linked(staging, dims, kept)) if write_audits else None
+    tables = star.build(staging, space, target, dims, linked)
+    saved = _row_counts(tables) if target else save_all(tables, write)
+    rows = {"staging_data": staging.count(), **saved}
     if write_audits:
         rows |= save_all({
             "audit_fk": audits.fk_violations(tables, STAR_EDGES, STAR_KEYS),
             "audit_pk": audits.pk_violations(tables, STAR_KEYS),
-            "audit_rejects": audits.star_rejects(staging, tables, _row_names(staging)),
+            "audit_rejects": audits.star_rejects(linked, kept),
         }, write_audits)
     if write_reports:
         rows |= run_reports(tables, workspace, write_reports, ordered)
@@ -195,7 +215,10 @@ def _run(
         tables = _star_tables(spark, workspace, options)
         return run_reports(tables, workspace, write_reports, options.ordered)
     staging = _staging(spark, workspace, options)
-    write = writer(options.out, options.out_jdbc, "SALESMART_TARGET")
+    if options.out:
+        write = Workspace(spark, options.out.rstrip("/"))
+    else:
+        write = writer(None, options.out_jdbc, "SALESMART_TARGET")
     write_audits = writer(options.audits_out, False, "")
     if options.command == "star":
         return run_star(staging, workspace, write, write_reports, write_audits, options.ordered)

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions import not_blank
+from salesmart.functions import broken_rules
 from salesmart.plans import snowflake, star
-from salesmart.schemas import SNOWFLAKE_TABLES
 
 Tables = Mapping[str, DataFrame]
 
@@ -117,68 +116,30 @@ def length_violations(
     return _union(parts)
 
 
-def _explode_rules(rows: DataFrame, kept: list[str], rules: dict[str, Column]) -> DataFrame:
-    broken = F.array_compact(F.array(*[F.when(rule, F.lit(n)) for n, rule in rules.items()]))
-    return rows.select(*kept, F.explode(broken).alias("rule"))
-
-
-def _unusable(parsed: Column, source: str) -> Column:
-    """Text was given but no value came out of it."""
-    return not_blank(F.col(source)) & parsed.isNull()
+def _rejects(linked: DataFrame, ids: Mapping[str, str], kept: tuple[str, ...]) -> DataFrame:
+    missing = broken_rules({f"no_{name}": F.col(column).isNull() for name, column in ids.items()})
+    return linked.select(
+        *[F.col(f"_{name}").alias(name) for name in kept],
+        F.explode(F.concat(missing, "broken")).alias("rule"),
+    )
 
 
-def snowflake_rejects(
-    staging: DataFrame, keys: Tables, kept: tuple[str, ...] = ("id",)
-) -> DataFrame:
+def snowflake_rejects(linked: DataFrame, kept: tuple[str, ...] = ("id",)) -> DataFrame:
     """One row per staging row and broken rule.
 
     ``no_<dimension>`` is why the row is not in the fact; ``bad_<column>`` is a text that was
-    turned into NULL. ``keys`` is the result of `snowflake.number`. ``kept`` columns identify
-    the staging row, e.g. ``id`` and ``_source``.
+    turned into NULL. ``linked`` is the result of `snowflake.linked`; its ``kept`` columns
+    identify the staging row, e.g. ``id`` and ``_source``.
     """
-    values = {("fact_sales", column): source for column, source in snowflake.MEASURES.items()}
-    for name, spec in snowflake.ENTITIES.items():
-        values |= {(name, column): source for column, source in spec.output.items()}
-    typed = {
-        f"bad_{source}": _unusable(snowflake.parsed(table, column, source), source)
-        for (table, column), source in values.items()
-        if not dict(SNOWFLAKE_TABLES[table])[column].startswith(("varchar", "string"))
-    }
-    rows = staging.select(
-        *[F.col(name).alias(f"_{name}") for name in kept],
-        *[rule.alias(name) for name, rule in typed.items()],
-        *snowflake.link_columns(),
-    )
-    linked = snowflake.link(rows, keys, "left")
-    rules = {
-        f"no_{table.removeprefix('dim_')}": F.col(snowflake.foreign_key(table)).isNull()
-        for table in snowflake.FACT_LINKS
-    }
-    rules |= {name: F.col(name) for name in typed}
-    return _explode_rules(linked, [F.col(f"_{name}").alias(name) for name in kept], rules)
+    ids = {t.removeprefix("dim_"): snowflake.foreign_key(t) for t in snowflake.FACT_LINKS}
+    return _rejects(linked, ids, kept)
 
 
-def star_rejects(
-    staging: DataFrame, tables: Tables, kept: tuple[str, ...] = ("id",)
-) -> DataFrame:
-    """Like `snowflake_rejects`, with the star tables; here ``no_<dimension>`` is a NULL id in a
-    row that was kept."""
-    parsed = {source: parser(F.col(source)) for source, parser in star.MEASURES.values()}
-    for spec in star.DIMENSIONS.values():
-        parsed |= {spec.columns[column]: spec.parse(column) for column in spec.parsers}
-    typed = {f"bad_{source}": _unusable(value, source) for source, value in parsed.items()}
-    rows = staging.select(
-        *[F.col(name).alias(f"_{name}") for name in kept],
-        *[rule.alias(name) for name, rule in typed.items()],
-        *star.natural_keys(),
-    )
-    linked = star.link(rows, tables)
-    rules = {
-        f"no_{spec.id.removesuffix('_id')}": F.col(spec.id).isNull()
-        for spec in star.DIMENSIONS.values()
-    }
-    rules |= {name: F.col(name) for name in typed}
-    return _explode_rules(linked, [F.col(f"_{name}").alias(name) for name in kept], rules)
+def star_rejects(linked: DataFrame, kept: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Like `snowflake_rejects`, of the result of `star.linked`; here ``no_<dimension>`` is a
+    NULL id in a row that was kept."""
+    ids = {spec.id.removesuffix("_id"): spec.id for spec in star.DIMENSIONS.values()}
+    return _rejects(linked, ids, kept)
 
 
 def reject_counts(rejects: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions import guarded_decimal, guarded_int, or_empty, us_date
+from salesmart.functions import (
+    broken_rules,
+    guarded_decimal,
+    guarded_int,
+    or_empty,
+    unusable,
+    us_date,
+)
 from salesmart.operators import attach_key, dense_id, position_id, representative
 from salesmart.schemas import SNOWFLAKE_TABLES
 from salesmart.workspace import Workspace
@@ -294,6 +301,38 @@ def fact_rows(staging: DataFrame, keys: Mapping[str, DataFrame], strict: bool =
     return link(rows, keys, "inner").select(*MEASURES, *ids)
 
 
+def linked(
+    staging: DataFrame, keys: Mapping[str, DataFrame], kept: Sequence[str] = ("id",)
+) -> DataFrame:
+    """Every staging row with its five ids, NULL where a dimension is missing.
+
+    Stored, it gives the fact and its rejects without another join: it has the measures as text,
+    the ``broken`` rules of the row's values, and the ``kept`` columns as ``_<name>``.
+    """
+    values = {("fact_sales", column): source for column, source in MEASURES.items()}
+    for name, spec in ENTITIES.items():
+        values |= {(name, column): source for column, source in spec.output.items()}
+    rules = {
+        f"bad_{source}": unusable(parsed(table, column, source), source)
+        for (table, column), source in values.items()
+        if not dict(SNOWFLAKE_TABLES[table])[column].startswith(("varchar", "string"))
+    }
+    own = [f"_{name}" for name in kept]
+    rows = staging.select(
+        *[F.col(name).alias(f"_{name}") for name in kept], *MEASURES.values(),
+        broken_rules(rules).alias("broken"), *link_columns(),
+    )
+    ids = [foreign_key(table) for table in FACT_LINKS]
+    return link(rows, keys, "left").select(*own, *MEASURES.values(), *ids, "broken")
+
+
+def linked_fact(linked: DataFrame, strict: bool = False) -> DataFrame:
+    """The `fact_rows` out of the stored `linked` rows."""
+    ids = [column for column, _ in SNOWFLAKE_TABLES["fact_sales"] if column.endswith("_id")]
+    measures = [parsed("fact_sales", column, source, strict) for column, source in MEASURES.items()]
+    return linked.dropna(subset=ids).select(*measures, *ids)
+
+
 def number(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
     """The stored `numbered` rows of all outriggers and entities."""
     names = [*ENTITIES, *OUTRIGGERS]
@@ -306,21 +345,28 @@ def build(
     workspace: Workspace,
     strict: bool = False,
     keys: Mapping[str, DataFrame] | None = None,
+    linked: DataFrame | None = None,
+    target: Workspace | None = None,
 ) -> dict[str, DataFrame]:
     """All twelve tables, stored in the workspace. ``staging`` is scanned once per table.
 
     ``strict=True`` raises on a value that has the right shape but does not fit its type, on
     a date that does not exist, and so on; by default such a value is NULL, and text beyond its
-    declared length stays and is left to the audit. ``keys`` is the result of `number`, if there
-    is one already.
+    declared length stays and is left to the audit. ``keys`` and ``linked`` are the stored results
+    of `number` and `linked`, if there are any already. With a ``target`` the tables are stored
+    there, the fact with its id; only lookups and fact are in the workspace too.
     """
     keys = keys or number(staging, workspace)
-    tables = {name: keys[name] for name in OUTRIGGERS}
     if strict:
-        tables = workspace.child("checked").store_all(
+        tables = (target or workspace.child("checked")).store_all(
             OUTRIGGERS, lambda name: checked_outrigger(keys[name], name)
         )
-    tables |= workspace.store_all(ENTITIES, lambda name: entity(keys, name, strict))
-    facts = workspace.store("fact_sales", fact_rows(staging, keys, strict))
-    tables["fact_sales"] = position_id(facts, "id")
+    elif target:
+        tables = target.store_all(OUTRIGGERS, lambda name: keys[name])
+    else:
+        tables = {name: keys[name] for name in OUTRIGGERS}
+    tables |= (target or workspace).store_all(ENTITIES, lambda name: entity(keys, name, strict))
+    fact = fact_rows(staging, keys, strict) if linked is None else linked_fact(linked, strict)
+    numbered_fact = position_id(workspace.store("fact_sales", fact), "id")
+    tables["fact_sales"] = target.store("fact_sales", numbered_fact) if target else numbered_fact
     return tables

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions import loose_double, loose_int, money, us_date
+from salesmart.functions import (
+    broken_rules,
+    loose_double,
+    loose_int,
+    money,
+    unusable,
+    us_date,
+)
 from salesmart.operators import attach_key, dense_id, representative
 from salesmart.workspace import Workspace
 
@@ -149,19 +156,56 @@ def natural_keys() -> list[str]:
     return [spec.columns[key] for spec in DIMENSIONS.values() for key in spec.keys]
 
 
+def linked(
+    staging: DataFrame, dims: Mapping[str, DataFrame], kept: Sequence[str] = ("id",)
+) -> DataFrame:
+    """Every staging row with its measures and five ids; an unknown or NULL key gives a NULL id.
+
+    Stored, it gives the fact and its rejects without another join: beside the fact's columns it
+    has the ``broken`` rules of the row's values and the ``kept`` columns as ``_<name>``.
+    """
+    parsers = dict(MEASURES.values())
+    rules = {source: parser(F.col(source)) for source, parser in parsers.items()}
+    for spec in DIMENSIONS.values():
+        rules |= {spec.columns[column]: spec.parse(column) for column in spec.parsers}
+    rows = staging.select(
+        *[F.col(name).alias(f"_{name}") for name in kept],
+        *[parser(F.col(source)).alias(column) for column, (source, parser) in MEASURES.items()],
+        broken_rules({f"bad_{s}": unusable(v, s) for s, v in rules.items()}).alias("broken"),
+        *natural_keys(),
+    )
+    ids = [spec.id for spec in DIMENSIONS.values()]
+    return link(rows, dims).select(*[f"_{name}" for name in kept], *ids, *MEASURES, "broken")
+
+
+def linked_fact(linked: DataFrame) -> DataFrame:
+    """The fact, one row per row of the stored `linked` rows."""
+    return linked.select(*[spec.id for spec in DIMENSIONS.values()], *MEASURES)
+
+
 def sales_fact(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """One row per staging row; an unknown or NULL natural key gives a NULL id."""
-    measures = [
-        parser(F.col(source)).alias(column) for column, (source, parser) in MEASURES.items()
-    ]
-    rows = staging.select(*measures, *natural_keys())
-    ids = [spec.id for spec in DIMENSIONS.values()]
-    return link(rows, dims).select(*ids, *MEASURES)
+    return linked_fact(linked(staging, dims, kept=()))
 
 
-def build(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
-    """All six tables, stored in the workspace. ``staging`` is scanned once per table."""
+def dimensions(
+    staging: DataFrame, workspace: Workspace, target: Workspace | None = None
+) -> dict[str, DataFrame]:
+    """The five dimensions, stored in ``target``. ``staging`` is scanned once per table."""
     rows = workspace.child("picked").store_all(DIMENSIONS, lambda name: picked(staging, name))
-    tables = workspace.store_all(DIMENSIONS, lambda name: dimension(rows[name], name))
-    tables["sales_fact"] = workspace.store("sales_fact", sales_fact(staging, tables))
+    return (target or workspace).store_all(DIMENSIONS, lambda name: dimension(rows[name], name))
+
+
+def build(
+    staging: DataFrame,
+    workspace: Workspace,
+    target: Workspace | None = None,
+    dims: Mapping[str, DataFrame] | None = None,
+    linked: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """All six tables, stored in ``target``, by default the workspace. ``dims`` and ``linked`` are
+    the stored results of `dimensions` and `linked`, if there are any already."""
+    tables = dict(dims or dimensions(staging, workspace, target))
+    fact = sales_fact(staging, tables) if linked is None else linked_fact(linked)
+    tables["sales_fact"] = (target or workspace).store("sales_fact", fact)
     return tables

@@ -60,7 +60,7 @@ def staging(staging_rows):
 def test_snowflake_audits(staging, workspace):
     keys = snowflake.number(staging, workspace)
     tables = snowflake.build(staging, workspace, keys=keys)
-    assert found(audits.snowflake_rejects(staging, keys)) == [
+    assert found(audits.snowflake_rejects(snowflake.linked(staging, keys))) == [
         ("2", "bad_sale_quantity"), ("2", "no_customer"),
         ("3", "bad_product_rating"), ("3", "bad_sale_date"), ("3", "no_store"),
         ("4", "bad_customer_age"), ("4", "bad_sale_total_price"),
@@ -76,7 +76,9 @@ def test_snowflake_audits(staging, workspace):
 
 def test_star_audits(staging, workspace):
     tables = star.build(staging, workspace)
-    rejects = audits.star_rejects(staging, tables, kept=("id", "sale_date"))
+    rejects = audits.star_rejects(
+        star.linked(staging, tables, ("id", "sale_date")), kept=("id", "sale_date")
+    )
     assert found(rejects) == [
         ("2", "3/5/2021", "no_customer"), ("3", "13/45/2001", "bad_sale_date"),
         ("4", "", "bad_customer_age"),

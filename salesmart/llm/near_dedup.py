@@ -317,8 +317,12 @@ def node_classes(
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = space.store("links", _verified(pairs, texts, idf, similar))
+        if number and not found.limit(1).count():
+            break  # nothing has moved, the same pairs would come again
         links = found if links is None else links.unionByName(found)
         labels = components(links, space)
+        if number == ROUNDS - 1:
+            break
         # Large buckets that still hold several components are dealt anew by a second band.
         known = members.join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node")

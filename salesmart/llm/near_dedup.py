@@ -8,9 +8,11 @@ verified on their texts, and classes are the connected components of the verifie
 
 Copies (texts with the same words) are one node from the start. In a bucket of a band with up to
 `SMALL` nodes all pairs are candidates. In a larger one every node is compared with the bucket's
-hub, the node with most company over all bands; if that leaves the bucket in several components,
-its nodes are dealt anew by bucket and second band, and that is repeated while it finds pairs. So
-candidates grow with the nodes, not with the square of a bucket, and no bucket is cut off.
+hub, the node with most company over all bands. The nodes of large buckets that are still in
+several components get a complete search: two texts of similarity s share a shingle within the
+rarest ones that make up 1 - s of either's weight, so all pairs of different components that share
+one are candidates, but for those whose weight from the first shared one on cannot reach s. That
+finds every pair, wherever in a bucket it is, and does not compare what only a template joins.
 
 Document frequencies are counted per hash of the shingle in `DF_BUCKETS` buckets, a table of fixed
 size that is broadcast: sharing a bucket lowers the weight of rare shingles alike.
@@ -45,8 +47,11 @@ SMALL = 16
 #: Hashed document frequencies: 2**18 numbers, 2 MB.
 DF_BUCKETS = 2**18
 
-#: Rounds of dealing a bucket anew.
-ROUNDS = 3
+#: Nodes of a hot shingle that are compared with the others in a task.
+SLICE = 512
+
+#: What sums of weights may differ by, as a part of a text's weight.
+ROUNDING = 1e-6
 
 #: Words that a task works on at a time, but for a longer single text.
 BLOCK_WORDS = 400_000
@@ -210,6 +215,69 @@ def _pairs(members: DataFrame, by: list[str]) -> DataFrame:
     ).distinct()
 
 
+def _rarest(texts: DataFrame, idf, rarity, similar: float) -> DataFrame:
+    """(node, component, total, shingle, rest): the rarest shingles of each node, as many as a
+    similar text must share one of. ``total`` is the node's weight, ``rest`` that of the shingle
+    and all that come after it. ``rarity`` gives the order, hashes break ties."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_weight(batches, "words", BLOCK_WORDS):
+            doc, name, count = shingles(*flat(batch.column("words")))
+            weight = count * idf.value[_df_bucket(name)].astype(np.float64)
+            order = np.lexsort((name, -rarity.value[_df_bucket(name)], doc))
+            name, weight = name[order], weight[order]
+            total = np.bincount(doc, weight, minlength=batch.num_rows)
+            ahead = np.cumsum(weight) - weight
+            first = np.searchsorted(doc, doc)
+            rest = total[doc] - (ahead - ahead[first])
+            kept = np.flatnonzero(rest >= (similar - ROUNDING) * total[doc])
+            at = pa.array(doc[kept])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node").take(at), batch.column("component").take(at),
+                    pa.array(total[doc[kept]]), pa.array(name[kept].view(np.int64)),
+                    pa.array(rest[kept]),
+                ],
+                names=["node", "component", "total", "shingle", "rest"],
+            )
+
+    node = "struct<_node:bigint,_node2:bigint>"
+    return texts.select("node", "component", "words").mapInArrow(
+        run, f"node {node}, component {node}, total double, shingle bigint, rest double"
+    )
+
+
+def _sharing(rare: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of different components that share one of their rarest shingles and have
+    weight enough from there on. The nodes of a hot shingle meet in slices.
+
+    At the first shingle that a similar pair shares, the rest of both holds all that they share,
+    which is at least ``similar / (1 + similar)`` of their weights' sum.
+    """
+    groups = rare.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min("component").alias("least"), F.max("component").alias("most"),
+    ).where("least != most").select(
+        "shingle", F.ceil(F.col("size") / SLICE).cast("int").alias("slices")
+    )
+    rows = rare.join(groups, "shingle")
+    left = rows.select(
+        "shingle", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"),
+        F.col("node").alias("a"), F.col("component").alias("ca"),
+        F.col("total").alias("ta"), F.col("rest").alias("ra"),
+    )
+    right = rows.select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+        F.col("node").alias("b"), F.col("component").alias("cb"),
+        F.col("total").alias("tb"), F.col("rest").alias("rb"),
+    )
+    least = (similar / (1 + similar) - ROUNDING) * (F.col("ta") + F.col("tb"))
+    return left.join(right, ["shingle", "slice"]).where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+        & (F.least("ra", "rb") >= least)
+    ).select("a", "b").distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf, similar: float) -> DataFrame:
     """(a, b, similarity) of the pairs whose weighted Jaccard similarity reaches ``similar``."""
     left = texts.select(F.col("node").alias("a"), F.col("words").alias("wa"))
@@ -304,38 +372,33 @@ def node_classes(
     )
     texts = workspace.store("texts", texts)
 
-    links, labels, by = None, None, ["band", "key"]
+    space = workspace.child("hubs")
     labelled = members.withColumn("component", F.col("node"))
-    tried = None
-    for number in range(ROUNDS):
-        space = workspace.child(f"round_{number}")
-        pairs = _pairs(labelled, by)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = space.store("pairs", pairs)
-        if not pairs.limit(1).count():
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = space.store("links", _verified(pairs, texts, idf, similar))
-        if number and not found.limit(1).count():
-            break  # nothing has moved, the same pairs would come again
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, space)
-        if number == ROUNDS - 1:
-            break
-        # Large buckets that still hold several components are dealt anew by a second band.
-        known = members.join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
-        mixed = known.where(F.col("size") > SMALL).groupBy("band", "key").agg(
-            F.min("component").alias("least"), F.max("component").alias("most")
-        ).where("least != most").select("band", "key")
-        again = known.join(mixed, ["band", "key"])
-        other = members.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-        by = ["band", "key", "band2", "key2"]
-        dealt = again.drop("size").join(other, "node").where("band != band2")
-        labelled = space.store("again", _members(dealt, by))
-    return labels
+    pairs = space.store("pairs", _pairs(labelled, ["band", "key"]))
+    if not pairs.limit(1).count():
+        return None
+    links = space.store("links", _verified(pairs, texts, idf, similar))
+    labels = components(links, space)
+
+    # All pairs of the large buckets that still hold several components.
+    known = members.where(F.col("size") > SMALL).join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    mixed = known.groupBy("band", "key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    ).where("least != most").select("band", "key")
+    space = workspace.child("complete")
+    open_nodes = space.store("open", known.join(mixed, ["band", "key"]).select(
+        "node", "component").distinct())
+    if not open_nodes.limit(1).count():
+        return labels
+    open_texts = space.store("texts", texts.join(open_nodes, "node"))
+    rarity = session.broadcast(document_frequencies(open_texts))
+    rare = space.store("rare", _rarest(open_texts, idf, rarity, similar))
+    more = _sharing(rare, similar).join(pairs, ["a", "b"], "left_anti")
+    more = space.store("pairs", more)
+    found = space.store("links", _verified(more, open_texts, idf, similar))
+    return components(links.unionByName(found), space) if found.limit(1).count() else labels
 
 
 def classes(docs: DataFrame, workspace: Workspace, similar: float = SIMILAR) -> DataFrame:

@@ -4,10 +4,12 @@ Long strings of code-like characters are candidates. Their encoding is inferred
 base32, base64), which fixes an alphabet, and three tests ask whether the letters are uniform and
 independent: chi-squared over eight parts of the alphabet, the number of runs above and below its
 middle, and the correlation of neighbours. Fisher's method combines the three: strings that fail
-are not random. For the rest, the p-value under *ordinary text* is the chance that text of that
-length looks as uniform: its chi-squared grows with the length, so short strings never suffice and
-long ones do. The p-values of all candidates of the corpus go through the Benjamini-Hochberg
-procedure at rate `RATE`, by a histogram of at most `BINS` rows.
+are not random. For the rest, the p-value under *ordinary text* comes from the likelihood ratio of
+independent uniform letters to a chain of letter pairs that is counted over the corpus's ordinary
+strings: it weighs letters, runs and neighbours at once, and such text exceeds a ratio of x with a
+probability of at most 1 / x. Ordinary are the strings of `SHORTEST` to 19 letters and the
+candidates that are not random. The p-values of all candidates of the corpus go through the
+Benjamini-Hochberg procedure at rate `RATE`, by a histogram of at most `BINS` rows.
 
 Everything is built-in expressions inside the row; texts are never moved. Positions come from the
 pieces between the matches of a pattern: their lengths add up to the offsets, in code points.
@@ -18,6 +20,7 @@ candidates count each; extra columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +50,14 @@ BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Parts of the alphabet that the chi-squared test counts.
 PARTS = 8
 
-#: Chi-squared of ordinary text per letter: how unevenly it uses the parts. Words in one case use
-#: three of the eight parts (about 1.3), numbers as hexadecimal five (0.6).
-UNEVEN = 0.6
+#: Letters of a candidate, in the order of the table of letter pairs; its last row is the start.
+SYMBOLS = BASE64 + "-_"
+
+#: Shortest strings that the letter pairs of ordinary text are counted on.
+SHORTEST = 8
+
+#: Weight of the less specific letter frequencies in the chain, as a number of occurrences.
+SMOOTHING = 20.0
 
 #: A string is taken as random unless the combined tests reject it at this level.
 REJECT = 0.001
@@ -103,8 +111,8 @@ def _upper_tail(z: Column) -> Column:
 
 
 def battery(value: Column) -> Column:
-    """(p_random, p_ordinary) of a string: the combined tests, and how likely ordinary text of its
-    length is to look as uniform."""
+    """(p_random, uniform) of a string: the combined tests, and the logarithm of its probability
+    as independent uniform letters of its encoding."""
     alphabet = F.lit(BASE64)
     for pattern, letters in reversed(ENCODINGS):
         alphabet = F.when(value.rlike(pattern), F.lit(letters)).otherwise(alphabet)
@@ -133,7 +141,7 @@ def battery(value: Column) -> Column:
                 ) / (n / PARTS),
             )
             return F.struct(
-                n.alias("n"), squares.alias("squares"), products.alias("products"),
+                n.alias("n"), size.alias("letters"), squares.alias("squares"), products.alias("products"),
                 high.alias("high"), changes.alias("changes"), chi.alias("chi"),
             )
 
@@ -152,17 +160,15 @@ def battery(value: Column) -> Column:
         p_serial = 2 * _upper_tail(F.abs(r + 1 / n) * F.sqrt(n))
         fisher = -sum((F.ln(F.greatest(p, F.lit(1e-300))) for p in (p_chi, p_runs, p_serial)))
         p_random = F.exp(-fisher) * (1 + fisher + fisher * fisher / 2)
-        shift = UNEVEN * n
-        p_ordinary = _upper_tail(
-            (degrees + shift - m["chi"]) / F.sqrt(2 * (degrees + 2 * shift))
+        return F.struct(
+            p_random.alias("p_random"), (-n * F.ln(m["letters"])).alias("uniform")
         )
-        return F.struct(p_random.alias("p_random"), p_ordinary.alias("p_ordinary"))
 
     return let(let(alphabet, tests), p_values)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, candidates): spans of the patterns, and the other strings with p-values."""
+    """(doc_id, base, candidates): spans of the patterns, and the other strings, tested."""
     text = or_empty(F.col("text"))
     base = F.concat(*[
         spans(text, pattern, number, group, shortest)
@@ -183,6 +189,64 @@ def scanned(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.sort_array("base").alias("base"), "candidates")
 
 
+def _places(value: Column) -> Column:
+    """Place of each letter of a string among the symbols."""
+    return F.transform(F.split(value, ""), lambda c: F.position(c, F.lit(SYMBOLS)) - 1)
+
+
+def ordinary_pairs(docs: DataFrame, rows: DataFrame) -> np.ndarray:
+    """Logarithms of the chain of letter pairs of the ordinary strings, a row per letter before.
+
+    Pairs are counted on strings with a digit and a letter, as candidates have; they are smoothed
+    by the letters of these, and those by the letters of all strings. At most 2 * 67 * 66 counts.
+    """
+    letter = CANDIDATE[:CANDIDATE.index("{")]
+    short = f"(?<!{letter}){letter}{{{SHORTEST},19}}(?!{letter})"
+    text = or_empty(F.col("text"))
+    strings = with_columns(docs, {"text": "string"}).where(text.rlike(short)).select(
+        F.explode(F.regexp_extract_all(text, F.lit(short), F.lit(0))).alias("value")
+    )
+    long = F.filter("candidates", lambda c: c["p"]["p_random"] < REJECT)
+    strings = strings.unionByName(rows.select(F.explode(long["value"]).alias("value")))
+    mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
+    placed = strings.select(mixed.alias("mixed"), _places(F.col("value")).alias("at"))
+    width = len(SYMBOLS)
+    pairs = F.transform("at", lambda x, i: x + width * F.when(
+        i > 0, F.get(F.col("at"), i - 1)).otherwise(width))
+    counted = placed.select("mixed", F.explode(pairs).alias("pair")).groupBy("mixed", "pair").count()
+    counts = np.zeros((2, (width + 1) * width))
+    for has_both, pair, n in counted.collect():
+        counts[int(has_both), pair] = n
+    every, own = counts.sum(axis=0).reshape(-1, width).sum(axis=0), counts[1].reshape(-1, width)
+    usual = (every + 1) / (every.sum() + width)
+    usual = (own.sum(axis=0) + SMOOTHING * usual) / (own.sum() + SMOOTHING)
+    return np.log((own + SMOOTHING * usual) / (own.sum(axis=1, keepdims=True) + SMOOTHING))
+
+
+def judged(rows: DataFrame, chain: np.ndarray) -> DataFrame:
+    """``rows`` with the p-value under ordinary text in the candidates."""
+    table = F.split(F.lit(",".join(f"{x:.6f}" for x in chain.ravel())), ",").cast("array<double>")
+    width = len(SYMBOLS)
+
+    def ordinary(at: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(width).alias("before"))
+        return F.aggregate(at, start, lambda s, x: F.struct(
+            (s["sum"] + F.get(table, s["before"] * width + x)).alias("sum"), x.alias("before")
+        ))["sum"]
+
+    def with_p(c: Column) -> Column:
+        # The encoding is inferred, so the ratio is the largest of several.
+        several = F.ln(F.lit(len(ENCODINGS) + 1.0))
+        p = F.exp(F.least(let(_places(c["value"]), ordinary) - c["p"]["uniform"] + several, F.lit(0.0)))
+        return F.struct(
+            c["start"].alias("start"), c["kind_no"].alias("kind_no"), c["end"].alias("end"),
+            c["value"].alias("value"),
+            F.struct(c["p"]["p_random"].alias("p_random"), p.alias("p_ordinary")).alias("p"),
+        )
+
+    return rows.withColumn("candidates", F.transform("candidates", with_p))
+
+
 def discovery_threshold(rows: DataFrame, rate: float = RATE) -> float:
     """Largest p-value under ordinary text that is reported: Benjamini and Hochberg's, rounded
     down to a histogram bin. Candidates that are not random count as tested."""
@@ -204,6 +268,7 @@ def discovery_threshold(rows: DataFrame, rate: float = RATE) -> float:
 def secrets(docs: DataFrame, workspace: Workspace, rate: float = RATE) -> DataFrame:
     """(doc_id, base, found): spans of the patterns, and all spans, sorted by start, then kind."""
     rows = workspace.store("scanned", scanned(docs))
+    rows = workspace.store("judged", judged(rows, ordinary_pairs(docs, rows)))
     threshold = discovery_threshold(rows, rate)
     added = F.filter("candidates", lambda c: (c["p"]["p_random"] >= REJECT)
                      & (c["p"]["p_ordinary"] <= threshold))

@@ -4,10 +4,9 @@ import random
 from itertools import combinations
 
 import numpy as np
-import pytest
 from llm_fixtures import documents, importable  # noqa: F401
 
-from salesmart.llm import near_dedup
+from salesmart.llm import near_dedup, secret_scan
 
 
 def test_pairs_that_meet_only_in_large_buckets_are_found(documents, workspace):  # noqa: F811
@@ -31,3 +30,24 @@ def test_pairs_that_meet_only_in_large_buckets_are_found(documents, workspace):
     assert len(links) == 100 and all(b == a + 1 for a, b in links)
     expected |= {b: a for a, b in links}
     assert label == expected
+
+
+def test_secrets_of_usual_length_are_found_among_many_ordinary_strings(documents, workspace):  # noqa: F811
+    draw = random.Random(5)
+    syllables = [a + b for a in "bcdfglmnprst" for b in "aeiou"] + ["ing", "tion", "er", "sh"]
+
+    def ordinary():
+        name = draw.choice(["_", "-", "/"]).join(
+            "".join(draw.choices(syllables, k=draw.randrange(2, 6))) for _ in range(5))
+        return f"{name}{draw.choice('_-/')}{draw.randrange(10 ** draw.randrange(1, 6))}"
+
+    letters = secret_scan.BASE64[:62]
+    lengths = [20, 24, 32, 40, 48, 64]
+    planted = ["7a" + "".join(draw.choices(letters, k=lengths[i % 6] - 2)) for i in range(30)]
+    plain = [ordinary() for _ in range(3000)]  # 1% secrets
+    rows = [(i, f"see {value} there", "s") for i, value in enumerate(planted + plain)]
+    found = secret_scan.secrets(documents(*rows), workspace).collect()
+    reported = {r.doc_id for r in found if r.found}
+    by_length = {n: sum(len(planted[i]) == n for i in reported if i < 30) for n in lengths}
+    assert sum(by_length.values()) >= 29 and all(n >= 4 for n in by_length.values())
+    assert len([i for i in reported if i >= 30]) <= 3

@@ -2,15 +2,16 @@
 
 Words are counted over the training documents. The most frequent ones, the vocabulary, are dealt
 to classes by exchange clustering: every round each word of one half moves to the class that gains
-most mutual information between neighbouring classes. All other words share one class, the end of
-a text has one of its own and also stands before a text. A text's probability is the product of
-the class transitions, smoothed by interpolation with the classes' frequencies, and the emissions
-of its words: within a class by relative frequency, in the shared class with one half added to
-each count and one word that was never seen. It adds up to one over all texts.
+most mutual information between neighbouring classes. Every other word then goes to the class with
+the same gain against these, from its neighbours in all training documents. The end of a text has a
+class of its own and also stands before a text. A text's probability is the product of the class
+transitions, smoothed by interpolation with the classes' frequencies, and the emissions of its
+words, by relative frequency in their class. A word never seen has a class of its own, as likely as
+half an occurrence after any other. It adds up to one over all texts.
 
-Word counts grow with the corpus and stay a table; what is broadcast has a fixed bound: the counts
-of at most `FREQUENT` words, chosen by a threshold on the count, and the classes. The counts of
-other words reach the documents by a join.
+Counts and classes of the words grow with the corpus and stay a table; what is broadcast has a fixed
+bound: those of at most `FREQUENT` words, the first by count and then by hash. Those of other words
+reach the documents by a join, with the pairs of neighbours that they are in.
 
 Defined results: a NULL text is empty, its only token is the end; a NULL doc_id counts as training;
 rows equal in doc_id and text are scored alike; extra columns are ignored. Words are told apart by
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import by_weight, flat, lists, or_empty, row_key, with_columns, word_hashes
+from salesmart.llm.common import by_weight, flat, mix64, or_empty, row_key, with_columns, word_hashes
 from salesmart.workspace import Workspace
 
 #: Most words whose counts are broadcast: 4 MB. And most words that are clustered.
@@ -77,17 +78,43 @@ def _threshold_bin(counts: DataFrame, most: int) -> int:
     return 0
 
 
+def most_frequent(counts: DataFrame, most: int) -> Column:
+    """Condition on the first ``most`` words by count, then by parts of the hash; a last part that
+    would not fit stays out."""
+    start = _threshold_bin(counts, most)
+    chosen = F.col("bin") >= start
+    left = most - counts.where(chosen).count()
+    edge = counts.where(F.col("bin") < start)
+    last = edge.agg(F.max("bin")).first()[0]
+    if last is None:
+        return chosen
+    edge = edge.where(F.col("bin") == last)
+    sizes = dict(map(tuple, edge.groupBy("n").count().collect()))  # counts within a bin
+    for n in sorted(sizes, reverse=True):
+        if sizes[n] > left:
+            break
+        left -= sizes[n]
+    part = F.shiftrightunsigned("word", 48)  # 65,536 parts
+    parts = dict(map(tuple, edge.where(F.col("n") == n).groupBy(part).count().collect()))
+    until = 0
+    for until in sorted(parts):
+        left -= parts[until]
+        if left < 0:
+            break
+    tied = (F.col("n") == n) & (part < until)
+    return chosen | ((F.col("bin") == last) & ((F.col("n") > n) | tied))
+
+
 class Words:
-    """Frequent words by hash: their count and their number in the vocabulary."""
+    """Frequent words by hash: their count, their number in the vocabulary and their class."""
 
     def __init__(self, counts: DataFrame, frequent: int, vocabulary: int):
-        start = _threshold_bin(counts, frequent)
-        clustered = _threshold_bin(counts, vocabulary)
-        rows = counts.where(F.col("bin") >= start).select("word", "n", "bin").toArrow()
+        clustered = most_frequent(counts, min(vocabulary, frequent)).alias("clustered")
+        rows = counts.where(most_frequent(counts, frequent)).select("word", "n", clustered).toArrow()
         order = np.argsort(rows.column("word").to_numpy())
         self.hash = rows.column("word").to_numpy()[order]
         self.count = rows.column("n").to_numpy()[order]
-        known = rows.column("bin").to_numpy()[order] >= clustered
+        known = rows.column("clustered").to_numpy()[order].astype(bool)
         self.size = int(known.sum())
         self.rest, self.end = self.size, self.size + 1  # numbers of the shared class and the end
         self.number = np.full(len(order), self.rest, np.int32)
@@ -232,24 +259,159 @@ def cluster(pairs: DataFrame, size: int, classes: int, rounds: int) -> np.ndarra
     return best
 
 
+def gains(
+    word: np.ndarray, at: np.ndarray, n: np.ndarray, table: np.ndarray, classes: int, size: int
+) -> np.ndarray:
+    """What each of ``size`` words of the shared class gains in each class, as in `best_classes`.
+
+    ``n`` counts the class ``at`` after a word, or before it from the table's width on; ``word``
+    is sorted.
+    """
+    width = len(table)
+    counts = np.zeros((size, 2 * width))
+    counts[word, at] = n
+    right, left = counts[:, :width], counts[:, width:]
+    beside = np.concatenate([table.T, table])[at][:, :classes]  # of each class with the neighbour
+    for side, other in ((classes, left), (width + classes, right)):
+        shared = np.flatnonzero(at == side)  # without the word itself
+        beside[shared] -= other[word[shared], :classes]
+    np.maximum(beside, 0, out=beside)
+    more = _xlogx(beside + n[:, None]) - _xlogx(beside)
+    result = np.add.reduceat(more, np.searchsorted(word, np.arange(size)), axis=0)
+    for sums, own, other in ((table.sum(1), right, left), (table.sum(0), left, right)):
+        without = np.maximum(sums[:classes] - other[:, :classes], 0)
+        result -= _xlogx(without + own.sum(axis=1, keepdims=True)) - _xlogx(without)
+    return result
+
+
+def rest_classes(training: DataFrame, words, assigned, table: np.ndarray, classes: int) -> DataFrame:
+    """(word, c): the class of every training word outside the vocabulary."""
+    width = classes + 2
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.value
+        for batch in by_weight(batches, "words", BLOCK_WORDS):
+            hashes, offsets = flat(batch.column("words"))
+            before, current, _, _ = _neighbours(known, hashes, offsets)
+            tokens = np.insert(hashes, offsets[1:], 0)
+            rest = np.flatnonzero(current == known.rest)
+            every, place = np.unique(tokens[rest], return_inverse=True)
+            code = np.concatenate([
+                place * 2 * width + assigned[current[rest + 1]],
+                place * 2 * width + width + assigned[before[rest]],
+            ])
+            code, n = np.unique(code, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(every[code // (2 * width)], pa.int64()),
+                 pa.array((code % (2 * width)).astype(np.int32)), pa.array(n)],
+                names=["word", "at", "n"],
+            )
+
+    counted = training.select("words").mapInArrow(count, "word bigint, at int, n bigint")
+    per_word = counted.groupBy("word", "at").agg(F.sum("n").alias("n")).groupBy("word").agg(
+        F.collect_list("at").alias("at"), F.collect_list("n").alias("n")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_weight(batches, "at", BLOCK_WORDS // 20):
+            at, offsets = flat(batch.column("at"))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            n = flat(batch.column("n"))[0].astype(np.float64)
+            best = gains(row, at, n, table, classes, batch.num_rows).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), pa.array(best, pa.int32())], names=["word", "c"]
+            )
+
+    return per_word.mapInArrow(run, "word bigint, c int")
+
+
+def _class_pairs(words: Words, hashes: np.ndarray, offsets: np.ndarray):
+    """Hash and class of each token and of the one before, -1 where the class is not broadcast."""
+    before, current, place, there = _neighbours(words, hashes, offsets)
+    cls = np.where(there, words.cls[place] if len(words.cls) else 0, -1)
+    token = np.insert(hashes, offsets[1:], 0)
+    current = np.insert(cls, offsets[1:], words.end_class)
+    ahead, previous = np.roll(token, 1), np.roll(current, 1)
+    return ahead, previous, token, current, place, there
+
+
+def _open(ahead, previous, token, current) -> tuple[np.ndarray, pa.StructArray]:
+    """Places and rows of the pairs with a class that is not broadcast. A hash that is not needed is
+    replaced by another, so that joins do not meet a hot key."""
+    at = np.flatnonzero((previous < 0) | (current < 0))
+    a, b, ca, cb = ahead[at], token[at], previous[at], current[at]
+    some_a = mix64(b.view(np.uint64) + np.uint64(1)).view(np.int64)
+    some_b = mix64(a.view(np.uint64) + np.uint64(1)).view(np.int64)
+    a, b = np.where(ca < 0, a, some_a), np.where(cb < 0, b, some_b)
+    return at, pa.StructArray.from_arrays(
+        [pa.array(a), pa.array(ca, pa.int32()), pa.array(b), pa.array(cb, pa.int32())],
+        names=["a", "ca", "b", "cb"],
+    )
+
+
+def transitions(training: DataFrame, words, lexicon: DataFrame, classes: int) -> np.ndarray:
+    """How often a class follows another in the training documents."""
+    width = classes + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(width * width, np.int64)
+        for batch in by_weight(batches, "words", BLOCK_WORDS):
+            ahead, previous, token, current, _, _ = _class_pairs(
+                words.value, *flat(batch.column("words")))
+            closed = (previous >= 0) & (current >= 0)
+            counts += np.bincount(
+                previous[closed] * width + current[closed], minlength=width * width)
+            rows = _open(ahead, previous, token, current)[1]
+            yield pa.RecordBatch.from_arrays(
+                [*rows.flatten(), pa.array(np.ones(len(rows), np.int64))],
+                names=["a", "ca", "b", "cb", "n"],
+            )
+        found = np.flatnonzero(counts)
+        # Hashes of closed pairs are not looked at.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array((found // width).astype(np.int32)), pa.array(found),
+             pa.array((found % width).astype(np.int32)), pa.array(counts[found])],
+            names=["a", "ca", "b", "cb", "n"],
+        )
+
+    rows = training.select("words").mapInArrow(run, "a bigint, ca int, b bigint, cb int, n bigint")
+    found = _with_classes(rows, lexicon, classes).groupBy("ca", "cb").agg(F.sum("n"))
+    table = np.zeros((width, width))
+    for ca, cb, n in found.collect():
+        table[ca, cb] = n
+    return table
+
+
+def _with_classes(rows: DataFrame, lexicon: DataFrame, classes: int) -> DataFrame:
+    """``rows`` with classes in place of -1, that of words never seen being ``classes``; n_b is the
+    count of a word b that is not broadcast, 0 if never seen, else NULL."""
+    first = lexicon.select(F.col("word").alias("a"), F.col("c").alias("_a"))
+    second = lexicon.select(F.col("word").alias("b"), F.col("c").alias("_b"), F.col("n").alias("_n"))
+    never = F.lit(classes)
+    return rows.join(first, "a", "left").join(second, "b", "left").withColumns({
+        "n_b": F.when(F.col("cb") < 0, F.coalesce("_n", F.lit(0))),
+        "ca": F.when(F.col("ca") < 0, F.coalesce("_a", never)).otherwise(F.col("ca")),
+        "cb": F.when(F.col("cb") < 0, F.coalesce("_b", never)).otherwise(F.col("cb")),
+    }).drop("_a", "_b", "_n")
+
+
 class Model:
     """Logarithms that score a token: transitions, and emissions of the frequent words."""
 
-    def __init__(self, words: Words, assigned: np.ndarray, table: np.ndarray, totals: dict):
-        self.words, self.assigned = words, assigned
+    def __init__(self, words: Words, table: np.ndarray, totals: dict):
+        self.words = words
         classes = table.shape[0]
+        never = classes - 2
         seen = table.sum(axis=0)
         usual = (seen + 1) / (seen.sum() + classes)
-        self.transition = np.log10(
-            (table + SMOOTHING * usual) / (table.sum(axis=1, keepdims=True) + SMOOTHING)
-        )
-        clustered = words.number < words.rest
-        self.rest_total = totals["rest_tokens"] + 0.5 * (totals["rest_words"] + 1)
-        own = np.maximum(seen[assigned[words.number]], 1)
-        self.emission = np.log10(np.where(
-            clustered, words.count / own, (words.count + 0.5) / self.rest_total
-        ))
         self.base_total = totals["tokens"] + 0.5 * (totals["words"] + 1)
+        chance = (table + SMOOTHING * usual) / (table.sum(axis=1, keepdims=True) + SMOOTHING)
+        unseen = min(0.5 / self.base_total, 0.5)
+        chance *= (1 - unseen) / (1 - chance[:, never:never + 1])
+        chance[:, never] = unseen
+        self.transition = np.log10(chance)
+        self.seen = np.log10(np.maximum(seen, 1))
+        self.emission = np.log10(words.count) - self.seen[words.cls]
         self.base = np.log10((words.count + 0.5) / self.base_total)
         self.base_end = float(np.log10((totals["texts"] + 0.5) / self.base_total))
         self.end_known = int(totals["texts"] > 0)
@@ -257,27 +419,27 @@ class Model:
 
 def _score_block(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
     hashes, offsets = flat(batch.column("words"))
-    before, current, place, there = _neighbours(model.words, hashes, offsets)
-    ends = offsets[1:] + np.arange(1, len(offsets))  # of each text with its end token
-    steps = model.transition[model.assigned[before], model.assigned[current]]
+    ahead, previous, token, current, place, there = _class_pairs(model.words, hashes, offsets)
+    ends = np.concatenate([[0], offsets[1:] + np.arange(1, len(offsets))])  # with the end tokens
+    closed = (previous >= 0) & (current >= 0)
+    steps = np.where(closed, model.transition[previous, current], 0)
+    at, pairs = _open(ahead, previous, token, current)
 
     def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0.0], np.cumsum(values)])
         return sums[offsets[1:]] - sums[offsets[:-1]]
 
-    usable = there & (place < len(model.emission))
-    at = np.where(usable, place, 0)
-    emission = np.where(there, model.emission[at], 0) if len(model.emission) else np.zeros(len(at))
-    base = np.where(there, model.base[at], 0) if len(model.base) else np.zeros(len(at))
-    score = per_text(steps, np.concatenate([[0], ends])) + per_text(emission, offsets)
-    rest = np.concatenate([[0], np.cumsum(~there)])[offsets]
+    place = np.where(there, place, 0)
+    emission = np.where(there, model.emission[place], 0) if len(model.emission) else np.zeros(len(place))
+    base = np.where(there, model.base[place], 0) if len(model.base) else np.zeros(len(place))
+    score = per_text(steps, ends) + per_text(emission, offsets)
     known = np.diff(np.concatenate([[0], np.cumsum(there)])[offsets]) + model.end_known
+    rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends), pa.int32()), pairs)
     return pa.RecordBatch.from_arrays(
         [
             *(batch.column(name) for name in ("doc_id", "_key", "_key2", "held_out")),
             pa.array(np.diff(offsets) + 1, pa.int64()), pa.array(known, pa.int64()),
-            pa.array(per_text(base, offsets) + model.base_end), pa.array(score),
-            lists(hashes[~there], rest),
+            pa.array(per_text(base, offsets) + model.base_end), pa.array(score), rest,
         ],
         names=["doc_id", "_key", "_key2", "held_out", "n_tokens", "n_known", "base_score",
                "score", "rest"],
@@ -285,7 +447,8 @@ def _score_block(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 SCORED = ("doc_id bigint, _key bigint, _key2 bigint, held_out boolean, n_tokens bigint, "
-          "n_known bigint, base_score double, score double, rest array<bigint>")
+          "n_known bigint, base_score double, score double, "
+          "rest array<struct<a:bigint,ca:int,b:bigint,cb:int>>")
 
 
 def scores(
@@ -319,14 +482,24 @@ def scores(
     ).join(F.broadcast(numbers.toDF("b", "cb")), "b").groupBy("ca", "cb").agg(F.sum("n"))
     for ca, cb, n in by_class.collect():
         table[ca, cb] = n
+    rest = workspace.store("rest", rest_classes(training, shared, assigned, table, classes))
+    known.end_class = classes + 1
+    known.cls = np.full(len(known.hash), classes, np.int64)
+    vocabulary_words = known.number < known.rest
+    known.cls[vocabulary_words] = assigned[known.number[vocabulary_words]]
+    # At most `frequent` of the other words have their class broadcast.
+    sure = counts.where(most_frequent(counts, frequent)).select("word")
+    found = rest.join(sure, "word", "left_semi").toArrow()
+    place, there = known.find(found.column("word").to_numpy())
+    known.cls[place[there]] = found.column("c").to_numpy()[there]
+    lexicon = rest.join(sure, "word", "left_anti").join(counts.select("word", "n"), "word")
+    lexicon = workspace.store("lexicon", lexicon.select("word", "n", "c"))
+    classed = spark.broadcast(known)
+    table = transitions(training, classed, lexicon, classes)
+
     words, tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    clustered = known.number < known.rest
-    totals = {
-        "texts": texts, "words": words + (texts > 0), "tokens": tokens + texts,
-        "rest_words": words - known.size,
-        "rest_tokens": tokens - int(known.count[clustered].sum()),
-    }
-    model = Model(known, assigned, table, totals)
+    totals = {"texts": texts, "words": words + (texts > 0), "tokens": tokens + texts}
+    model = Model(known, table, totals)
     sent = spark.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,14 +509,17 @@ def scores(
     scored = workspace.store("scored", rows.mapInArrow(run, SCORED))
     # Words that are not frequent, once per distinct row.
     rest = scored.where(F.size("rest") > 0).select("_key", "_key2", "rest")
-    rest = rest.dropDuplicates(["_key", "_key2"]).select(
-        "_key", "_key2", F.explode("rest").alias("word")
-    )
-    count = F.coalesce("n", F.lit(0))
-    added = rest.join(counts.select("word", "n"), "word", "left").groupBy("_key", "_key2").agg(
-        F.count_if(count > 0).alias("more_known"),
-        F.sum(F.log10((count + 0.5) / model.base_total)).alias("more_base"),
-        F.sum(F.log10((count + 0.5) / model.rest_total)).alias("more_score"),
+    rest = rest.dropDuplicates(["_key", "_key2"]).select("_key", "_key2", F.inline("rest"))
+
+    def constants(values: np.ndarray) -> Column:
+        return F.split(F.lit(",".join(map(repr, values.ravel().tolist()))), ",").cast("array<double>")
+
+    step = F.get(constants(model.transition), F.col("ca") * (classes + 2) + F.col("cb"))
+    emitted = F.when(F.col("n_b") > 0, F.log10("n_b") - F.get(constants(model.seen), F.col("cb")))
+    added = _with_classes(rest, lexicon, classes).groupBy("_key", "_key2").agg(
+        F.count_if(F.col("n_b") > 0).alias("more_known"),
+        F.sum(F.log10((F.col("n_b") + 0.5) / model.base_total)).alias("more_base"),
+        F.sum(step + F.coalesce(emitted, F.lit(0.0))).alias("more_score"),
     )
     nothing = F.lit(0.0)
     return scored.drop("rest").join(added, ["_key", "_key2"], "left").select(

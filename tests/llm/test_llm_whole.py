@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 from llm_fixtures import documents, importable  # noqa: F401
 
-from salesmart.llm import near_dedup, secret_scan
+from salesmart.llm import class_lm, near_dedup, secret_scan
 
 
 def test_pairs_that_meet_only_in_large_buckets_are_found(documents, workspace):  # noqa: F811
@@ -51,3 +51,46 @@ def test_secrets_of_usual_length_are_found_among_many_ordinary_strings(documents
     by_length = {n: sum(len(planted[i]) == n for i in reported if i < 30) for n in lengths}
     assert sum(by_length.values()) >= 29 and all(n >= 4 for n in by_length.values())
     assert len([i for i in reported if i >= 30]) <= 3
+
+
+def test_words_outside_the_vocabulary_get_a_class(documents, workspace):  # noqa: F811
+    rows = [(i, " ".join(f"{'ab'[k % 2]}{min(random.Random(i * 999 + k).sample(range(60), 2))}"
+                         for k in range(60)), "s") for i in range(150)]
+    docs = documents(*rows)
+
+    def scored(name, **limits):
+        result = class_lm.scores(docs, workspace.child(name), classes=2, rounds=6, **limits)
+        return {r.doc_id: r for r in result.collect()}
+
+    few = scored("few", vocabulary=10, frequent=40)
+    held = [r for r in few.values() if r.held_out]
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.2  # of log10(2) = 0.3 by knowing which half of the words is next
+    more = scored("more", vocabulary=10, frequent=1000)  # no word left for the join
+    assert all(abs(r.score - more[i].score) < 1e-6 for i, r in few.items())
+    assert all(abs(r.base_score - more[i].base_score) < 1e-6 for i, r in few.items())
+
+
+def test_gains_of_rest_words_equal_the_objective():
+    draw, classes, width = np.random.default_rng(3), 3, 5
+    table = draw.integers(60, 90, (width, width)).astype(float)
+    counts = draw.integers(0, 3, (4, 2 * width)).astype(float)
+    counts[:, [*range(classes), *range(width, width + classes)]] = 0  # else a cell changes twice
+    counts[:, [classes, width + classes + 1]] += 1
+    word, at = np.nonzero(counts)
+    got = class_lm.gains(word, at, counts[word, at], table, classes, 4)
+
+    def objective(t):
+        return sum(class_lm._xlogx(x).sum() * f for x, f in ((t, 1), (t.sum(0), -1), (t.sum(1), -1)))
+
+    for i, (right, left) in enumerate(zip(counts[:, :width], counts[:, width:])):
+        without = table.copy()
+        without[classes] -= right
+        without[:, classes] -= left
+        alone = []
+        for c in range(classes):
+            moved = without.copy()
+            moved[c] += right
+            moved[:, c] += left
+            alone.append(objective(moved))
+        np.testing.assert_allclose(np.diff(got[i]), np.diff(alone), rtol=1e-6)

@@ -180,7 +180,8 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(source_no, begin, block_no, words): the parts of each document that lie in each block.
+    """(source_no, begin, block_no, place, first, words): the parts of each document that lie in
+    each block. ``place`` counts the words of the stream before the part, ``first`` the document's.
 
     A source's stream repeats until its target is filled, at most `MOST_REPEATS` times.
     """
@@ -198,7 +199,28 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
     inside = F.least("_to", (F.col("block_no") + 1) * block) - F.greatest(
         "_from", F.col("block_no") * block
     )
-    return over.select("source_no", "begin", "block_no", inside.cast("bigint").alias("words"))
+    place = F.greatest("_from", F.col("block_no") * block)
+    return over.select(
+        "source_no", "begin", "block_no", place.cast("bigint").alias("place"),
+        (place - F.col("_from")).cast("bigint").alias("first"),
+        inside.cast("bigint").alias("words"),
+    )
+
+
+def sequence(placed: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix: (slot, place, doc_id, source, first, words), and the document's source_no and begin.
+
+    In the order of ``slot``, source_no (slots after all others may be shared) and ``place``, the
+    place of the part in its source's stream, it gives ``words`` words of the document from its
+    word number ``first`` on.
+    """
+    parts = pieces(placed, block).join(
+        schedule(sources, block).select("slot", "source_no", "block_no"), ["source_no", "block_no"]
+    )
+    documents = placed.where("size > 0").select("source_no", "begin", "doc_id", "source")
+    return parts.join(documents, ["source_no", "begin"]).select(
+        "slot", "place", "doc_id", "source", "first", "words", "source_no", "begin"
+    )
 
 
 def mixed(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
@@ -206,10 +228,7 @@ def mixed(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFram
     sizes = workspace.store("sizes", sized(docs))
     sources = workspace.store("sources", targets(sizes))
     placed = workspace.store("placed", streams(_numbered(sizes, sources)))
-    parts = pieces(placed, block).join(
-        schedule(sources, block).select("source_no", "block_no"), ["source_no", "block_no"]
-    )
-    taken = parts.groupBy("source_no", "begin").agg(F.sum("words").alias("taken"))
+    taken = sequence(placed, sources, block).groupBy("source_no", "begin").agg(F.sum("words").alias("taken"))
     # Documents without words share their place with the next one, and take nothing.
     at = F.when(F.col("size") > 0, F.col("begin"))
     return placed.withColumn("_at", at).join(
@@ -220,6 +239,14 @@ def mixed(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFram
     )
 
 
+def in_order(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
+    """The mix itself, as `sequence` gives it: rows that sort by slot, source_no and place."""
+    sizes = workspace.store("sizes", sized(docs))
+    sources = workspace.store("sources", targets(sizes))
+    placed = workspace.store("placed", streams(_numbered(sizes, sources)))
+    return sequence(placed, sources, block)
+
+
 def repeated(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
     """``docs``, each row as often as the mix takes it: ``taken / size``, rounded."""
     mix = mixed(docs, workspace, block).groupBy("_key", "_key2").agg(

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 from llm_fixtures import documents, importable  # noqa: F401
 
-from salesmart.llm import class_lm, near_dedup, secret_scan
+from salesmart.llm import class_lm, mixing, near_dedup, secret_scan
 
 
 def test_pairs_that_meet_only_in_large_buckets_are_found(documents, workspace):  # noqa: F811
@@ -94,3 +94,24 @@ def test_gains_of_rest_words_equal_the_objective():
             moved[:, c] += left
             alone.append(objective(moved))
         np.testing.assert_allclose(np.diff(got[i]), np.diff(alone), rtol=1e-6)
+
+
+def test_the_mix_can_be_written_in_schedule_order(documents, workspace):  # noqa: F811
+    draw, size = random.Random(2), {}
+    for i in range(120):
+        size[i] = draw.randrange(5, 60)
+    docs = documents(*[(i, " ".join(["w"] * n), "abc"[i % 3]) for i, n in size.items()])
+    mix = mixing.mixed(docs, workspace, block=16).collect()
+    parts = mixing.in_order(docs, workspace.child("order"), block=16).collect()
+    parts.sort(key=lambda r: (r.slot, r.source_no, r.place))
+    taken, target = {}, {r.source: r.target for r in mix}
+    for r in parts:
+        assert 0 <= r.first and r.first + r.words <= size[r.doc_id] and r.words > 0
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.words
+    assert taken == {r.doc_id: r.taken for r in mix if r.taken}
+    for source in "abc":  # each stream comes whole and in order, at its weight anywhere
+        own = [r for r in parts if r.source == source]
+        assert [r.place for r in own] == [sum(x.words for x in own[:i]) for i in range(len(own))]
+        half = parts[:len(parts) // 2]
+        share = sum(r.words for r in half if r.source == source) / sum(r.words for r in half)
+        assert abs(share - target[source] / sum(target.values())) < 0.05

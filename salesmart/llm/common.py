@@ -90,6 +90,29 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
+def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists numbered ``rows``, one after the other, and where each begins."""
+    sizes = (offsets[1:] - offsets[:-1])[rows]
+    ends = np.zeros(len(rows) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    places = np.repeat(offsets[rows] - ends[:-1], sizes)
+    places += np.arange(ends[-1])
+    return values[places], ends
+
+
+def quoted(name: str) -> str:
+    """The name of a column for Spark, also where it has dots or ticks in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``rows`` has it."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit integers one to one (the finalizer of splitmix64)."""
     z = values.astype(np.uint64, copy=True)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.llm.alignment import op12_alignment
 from salesmart.llm.bpe import op9_bpe
 from salesmart.llm.chat import op4_chat
 from salesmart.llm.class_lm import op6_class_lm
 from salesmart.llm.common import let_workers_import
+from salesmart.llm.license_scan import op11_licenses
 from salesmart.llm.line_dedup import OP2_SQL, op2_line_dedup
 from salesmart.llm.mixing import op10_mixing
 from salesmart.llm.near_dedup import op7_near_dedup
@@ -18,10 +20,12 @@ from salesmart.llm.neighbours import op3_neighbours
 from salesmart.llm.quality import op1_quality
 from salesmart.llm.secret_scan import op8_secrets
 from salesmart.llm.substring_dedup import op5_substring_dedup
+from salesmart.llm.whitening import op13_whitening
 
 QUERIES = [
     op1_quality, op2_line_dedup, op3_neighbours, op4_chat, op5_substring_dedup, op6_class_lm,
-    op7_near_dedup, op8_secrets, op9_bpe, op10_mixing,
+    op7_near_dedup, op8_secrets, op9_bpe, op10_mixing, op11_licenses, op12_alignment,
+    op13_whitening,
 ]
 
 OP4_SQL = r"""

@@ -402,8 +402,16 @@ PK = " union all ".join(
     f"count(*) - count({key}) as null_ids from {(SNOWFLAKE | STAR)[name]}"
     for name, key in KEYS.items()
 )
-# The id of the fact is a position, dense by definition.
-PK += " union all select 'fact_sales', 0, 0"
+# The id of the fact is a position: any numbering of its rows is as good.
+PK += """ union all select 'fact_sales', count(id) - count(distinct id), count(*) - count(id)
+from (select row_number() over () as id from a_fact)"""
+
+#: Dimensions whose ids are also ranked by the natural key: id, order of the key.
+RANKED = {
+    "customer_dim": ("customer_id", "email nulls first"),
+    "seller_dim": ("seller_id", "email nulls first"),
+    "product_dim": ("product_id", "name nulls first, category nulls first, brand nulls first"),
+}
 
 LIMITS = {
     "dim_address_customer": {"country": 200, "postal_code": 50},
@@ -491,6 +499,10 @@ def oracle_sql() -> dict[str, str]:
         select count(*) as n, count(*) as ids, cast(1 as bigint) as first_id,
                count(*) as last_id from a_fact"""
     finals |= {f"star_{name}": f"select * from {cte}" for name, cte in STAR.items()}
+    finals |= {
+        f"star_{name}_by_key": f"select * replace (row_number() over (order by {keys}) as {key}) from {STAR[name]}"
+        for name, (key, keys) in RANKED.items()
+    }
     finals |= {
         f"rpt_{i:02d}_{name}": text for i, (name, text) in enumerate(REPORTS.items(), start=1)
     }
@@ -510,6 +522,10 @@ def oracle_sql() -> dict[str, str]:
             group by rule union all
             select 'star' as profile, rule, count(*) as n from ({STAR_REJECTS}) group by rule""",
         "sink_roundtrip": "select * from b_fact",
+        "published_sales_fact": "select * from b_fact",
+        "jdbc_text_split": """
+            select cast(1 as bigint) as conditions_met, count(*) as n from staging
+            having count(*) > 0""",
         "typed_table_roundtrip": "select * from a_product",
         "views_sql": f"""
             select d.country, d.state, count(*) as sales, {UNITS} as units, {TOTAL} as revenue

@@ -18,9 +18,21 @@ from salesmart.schemas import (
     STAR_TABLES,
 )
 from salesmart.sinks import Writer, save_all, to_database, to_folder
-from salesmart.sources import Database, Ranges, read_staging_csv, read_table, read_tables
+from salesmart.sources import (
+    Database,
+    Ranges,
+    measured_ranges,
+    read_staging_csv,
+    read_table,
+    read_tables,
+    text_splits,
+)
+from salesmart.versions import Versions
 from salesmart.workspace import Workspace
 
+#: Tasks of a scan that is split by a column alone.
+SCAN_TASKS = 64
+
 
 def _row_names(staging: DataFrame) -> tuple[str, ...]:
     """What tells a rejected row: its id and, if known, its file, as ids repeat across files."""
@@ -37,16 +49,15 @@ def run_snowflake(
     write: Writer | Workspace,
     write_audits: Writer | None = None,
     strict: bool = False,
+    by_key: bool = False,
 ) -> dict[str, int]:
     """Build and write the twelve snowflake tables; returns rows per table, staging included.
 
     Given a `Workspace` to write to, the tables are stored there at once instead of being copied.
     """
     space, kept = workspace.child("snowflake"), _row_names(staging)
-    keys = snowflake.number(staging, space)
-    linked = (
-        space.store("linked", snowflake.linked(staging, keys, kept)) if write_audits else None
-    )
+    keys = snowflake.number(staging, space, by_key)
+    linked = snowflake.store_linked(space, staging, keys, kept)
     target = write if isinstance(write, Workspace) else None
     tables = snowflake.build(staging, space, strict, keys, linked, target)
     saved = _row_counts(tables) if target else save_all(tables, write)
@@ -68,6 +79,7 @@ def run_star(
     write_reports: Writer | None = None,
     write_audits: Writer | None = None,
     ordered: bool = False,
+    by_key: bool = False,
 ) -> dict[str, int]:
     """Build and write the six star tables and, if wanted, the eighteen reports on them.
 
@@ -75,7 +87,7 @@ def run_star(
     """
     space, kept = workspace.child("star"), _row_names(staging)
     target = write if isinstance(write, Workspace) else None
-    dims = star.dimensions(staging, space, target)
+    dims = star.dimensions(staging, space, target, by_key)
     linked = space.store("linked", star.linked(staging, dims, kept)) if write_audits else None
     tables = star.build(staging, space, target, dims, linked)
     saved = _row_counts(tables) if target else save_all(tables, write)
@@ -104,12 +116,22 @@ def _bound(text: str) -> int | str:
     return int(text) if text.lstrip("-").isdigit() else text
 
 
-def table_ranges(text: str) -> tuple[str, Ranges]:
-    """``table:column:lower:upper:tasks``, how a table of a database is split for reading."""
-    table, column, lower, upper, tasks = text.split(":")
+def table_ranges(text: str) -> tuple[str, Ranges | tuple[str, int]]:
+    """``table:column[:tasks]`` or ``table:column:lower:upper:tasks``, how a table of a database is
+    split for reading. Without bounds (column, tasks), and the database is asked for them."""
+    table, column, *rest = text.split(":")
+    if len(rest) < 2:
+        return table, (column, int(rest[0]) if rest else SCAN_TASKS)
+    lower, upper, tasks = rest
     return table, Ranges(column, _bound(lower), _bound(upper), int(tasks))
 
 
+def column_tasks(text: str) -> tuple[str, int]:
+    """``column[:tasks]``, how the scan of a staging table is split."""
+    column, _, tasks = text.partition(":")
+    return column, int(tasks or SCAN_TASKS)
+
+
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(
         prog="salesmart", description=__doc__,
@@ -123,12 +145,19 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         source.add_argument("--csv", nargs="+", help="CSV files or folders")
         source.add_argument("--parquet", help="staging as parquet")
         source.add_argument("--jdbc-table", help="staging table of the source database")
-        command.add_argument("--predicates", nargs="*", default=[], help="split of the JDBC scan")
+        split = command.add_mutually_exclusive_group()
+        split.add_argument("--predicates", nargs="*", default=[], help="split of the JDBC scan")
+        split.add_argument("--split-by", type=column_tasks, metavar="COLUMN[:TASKS]",
+                           help="split of the JDBC scan at quantiles of a text column, e.g. id")
+        command.add_argument("--ids", choices=["hash", "key"], default="hash",
+                             help="dimension ids are ranks by the key's hash or by the key itself")
         command.add_argument("--delimiter", default=",")
         command.add_argument("--single-line", action="store_true",
                              help="no line breaks inside quotes: large CSV files can be split")
         target = command.add_mutually_exclusive_group(required=True)
         target.add_argument("--out", help="folder for the tables")
+        target.add_argument("--publish", help="folder for a new version of the tables, which "
+                            "readers see as a whole once all are written")
         target.add_argument("--out-jdbc", action="store_true", help="to the target database")
         command.add_argument("--audits-out", help="folder for the audits")
     commands.choices["snowflake"].add_argument(
@@ -138,9 +167,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     source.add_argument("--star", help="folder of the star tables")
     source.add_argument("--star-jdbc", action="store_true", help="from the source database")
     command.add_argument("--ranges", nargs="*", type=table_ranges, default=[],
-                         metavar="TABLE:COLUMN:LOWER:UPPER:TASKS",
-                         help="split of the JDBC scan of a table, e.g. sales_fact, by a number "
-                         "or date column; other tables are read by one task")
+                         metavar="TABLE:COLUMN[:LOWER:UPPER][:TASKS]",
+                         help="split of the JDBC scan of a table by a number or date column, e.g. "
+                         "sales_fact:sale_date; other tables are read by one task")
     for name in ("star", "reports"):
         target = commands.choices[name].add_mutually_exclusive_group(required=name == "reports")
         target.add_argument("--reports-out", help="folder for the reports")
@@ -153,6 +182,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
                              "stay; by default they are removed at the end")
         command.add_argument("--connections", type=int, default=8, help="of a JDBC sink")
         command.add_argument("--batch-size", type=int, default=10_000, help="of a JDBC sink")
+        command.add_argument("--replace", choices=["drop", "truncate", "swap"],
+                             help="what becomes of an old table in a JDBC sink")
         command.add_argument("--table-options",
                              help="appended to CREATE TABLE by a JDBC sink, e.g. a table engine")
     return parser.parse_args(argv)
@@ -169,7 +200,10 @@ def _staging(spark: SparkSession, workspace: Workspace, options: argparse.Namesp
         )
     else:
         source = Database.from_environment("SALESMART_SOURCE")
-        rows = read_table(spark, source, options.jdbc_table, predicates=options.predicates)
+        predicates = options.predicates
+        if options.split_by:
+            predicates = text_splits(spark, source, options.jdbc_table, *options.split_by)
+        rows = read_table(spark, source, options.jdbc_table, predicates=predicates)
     return workspace.store("staging", rows)
 
 
@@ -179,10 +213,15 @@ def _star_tables(
     if options.star:
         return read_tables(spark, options.star, STAR_TABLES)
     source, ranges = Database.from_environment("SALESMART_SOURCE"), dict(options.ranges)
+
+    def split(name: str) -> Ranges | None:
+        found = ranges.get(name)
+        return measured_ranges(spark, source, name, *found) if isinstance(found, tuple) else found
+
     # Copied once: the reports then neither query the database again nor guess table sizes.
     return workspace.child("copy").store_all(
         [name for name in STAR_TABLES if name != "seller_dim"],  # no report reads it
-        lambda name: read_table(spark, source, name, ranges=ranges.get(name)),
+        lambda name: read_table(spark, source, name, ranges=split(name)),
     )
 
 
@@ -206,6 +245,7 @@ def _run(
             return to_database(
                 Database.from_environment(prefix), connections=options.connections,
                 batch_size=options.batch_size, create_table_options=options.table_options,
+                **({"replace": options.replace} if options.replace else {}),
             )
         return to_folder(folder) if folder else None
 
@@ -215,14 +255,24 @@ def _run(
         tables = _star_tables(spark, workspace, options)
         return run_reports(tables, workspace, write_reports, options.ordered)
     staging = _staging(spark, workspace, options)
-    if options.out:
+    version = Versions(spark, options.publish).begin() if options.publish else None
+    if version:
+        write = version.workspace
+    elif options.out:
         write = Workspace(spark, options.out.rstrip("/"))
     else:
         write = writer(None, options.out_jdbc, "SALESMART_TARGET")
     write_audits = writer(options.audits_out, False, "")
+    by_key = options.ids == "key"
     if options.command == "star":
-        return run_star(staging, workspace, write, write_reports, write_audits, options.ordered)
-    return run_snowflake(staging, workspace, write, write_audits, options.strict)
+        rows = run_star(
+            staging, workspace, write, write_reports, write_audits, options.ordered, by_key)
+    else:
+        rows = run_snowflake(staging, workspace, write, write_audits, options.strict, by_key)
+    if version:
+        tables = STAR_TABLES if options.command == "star" else SNOWFLAKE_TABLES
+        version.publish({name: rows[name] for name in tables})
+    return rows
 
 
 if __name__ == "__main__":

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.workspace import Workspace
+
 #: Leading hex digits of the key's md5 that name its bucket: 16**3 = 4,096 buckets at most.
 BUCKET_DIGITS = 3
 
@@ -68,3 +70,31 @@ def position_id(stored: DataFrame, name: str) -> DataFrame:
     return placed.join(F.broadcast(shifts), "_file", "left").select(
         (F.col("_shift") + F.col("_row") + 1).alias(name), *stored.columns
     )
+
+
+def ranked_id(rows: DataFrame, keys: Sequence[str], name: str, workspace: Workspace) -> DataFrame:
+    """Add a bigint ``name`` = rank of the row by its natural key, NULL first.
+
+    ``keys`` must be unique. Rows are dealt by ranges of the key and sorted in their range, so a
+    row's place is the number of rows in the ranges before plus its place in its own. Both are
+    stored with the rows, which is the only shuffle; then only a count per range is summed up.
+    The ids are those of a ``row_number`` over all rows, without their global sort in one task.
+    """
+    order = [F.col(key).asc_nulls_first() for key in keys]
+    # Bits from 33 on of this id count the range, those below the row in it; the sort is stored.
+    place = F.monotonically_increasing_id()
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = workspace.store(f"ranked_{name}", sorted_rows.select("*", place.alias("_place")))
+    part = F.shiftright("_place", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        stored.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    )  # a row per range, of which there are at most `spark.sql.shuffle.partitions`
+    within = F.col("_place").bitwiseAND(2**33 - 1) + 1
+    return (
+        stored.withColumn("_part", part)
+        .join(F.broadcast(shifts), "_part")
+        .select(*rows.columns, (F.col("_shift") + within).alias(name))
+    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from salesmart.functions import (
     unusable,
     us_date,
 )
-from salesmart.operators import attach_key, dense_id, position_id, representative
+from salesmart.operators import attach_key, dense_id, position_id, ranked_id, representative
 from salesmart.schemas import SNOWFLAKE_TABLES
 from salesmart.workspace import Workspace
 
@@ -239,12 +241,18 @@ def picked(staging: DataFrame, name: str) -> DataFrame:
     return representative(rows, spec.keys, spec.columns, first_by="_id")
 
 
-def numbered(picked_rows: DataFrame, name: str) -> DataFrame:
-    """The stored `picked` rows with a dense id; an outrigger is complete with that."""
+def numbered(picked_rows: DataFrame, name: str, by_key: Workspace | None = None) -> DataFrame:
+    """The stored `picked` rows with a dense id; an outrigger is complete with that. The id is the
+    rank by md5 of the key or, given a workspace to work in, by the key itself."""
+    def with_id(keys: Sequence[str], column: str) -> DataFrame:
+        if by_key:
+            return ranked_id(picked_rows, keys, column, by_key.child(name))
+        return dense_id(picked_rows, keys, column)
+
     if name in OUTRIGGERS:
         spec = OUTRIGGERS[name]
-        return dense_id(picked_rows, list(spec.columns), spec.id).select(spec.id, *spec.columns)
-    return dense_id(picked_rows, ENTITIES[name].keys, "id")
+        return with_id(list(spec.columns), spec.id).select(spec.id, *spec.columns)
+    return with_id(ENTITIES[name].keys, "id")
 
 
 def checked_outrigger(rows: DataFrame, name: str) -> DataFrame:
@@ -326,18 +334,39 @@ def linked(
     return link(rows, keys, "left").select(*own, *MEASURES.values(), *ids, "broken")
 
 
+def store_linked(
+    workspace: Workspace, staging: DataFrame, keys: Mapping[str, DataFrame],
+    kept: Sequence[str] = ("id",),
+) -> DataFrame:
+    """The `linked` rows, stored apart by whether they are ``complete``, that is in the fact.
+
+    So a row's place in its file is its place in the fact, and the fact's ids are known before the
+    fact is written: it is written once.
+    """
+    rows = linked(staging, keys, kept)
+    ids = [foreign_key(table) for table in FACT_LINKS]
+    complete = reduce(and_, [F.col(name).isNotNull() for name in ids])
+    return workspace.store("linked", rows.withColumn("complete", complete), partition_by=["complete"])
+
+
 def linked_fact(linked: DataFrame, strict: bool = False) -> DataFrame:
-    """The `fact_rows` out of the stored `linked` rows."""
-    ids = [column for column, _ in SNOWFLAKE_TABLES["fact_sales"] if column.endswith("_id")]
-    measures = [parsed("fact_sales", column, source, strict) for column, source in MEASURES.items()]
-    return linked.dropna(subset=ids).select(*measures, *ids)
+    """The fact, with its ids, out of the rows of `store_linked`."""
+    columns = [column for column, _ in SNOWFLAKE_TABLES["fact_sales"]]
+    measures = {name: parsed("fact_sales", name, source, strict) for name, source in MEASURES.items()}
+    rows = position_id(linked.where("complete"), "id")
+    return rows.select("id", *measures.values(), *[c for c in columns if c.endswith("_id")])
 
 
-def number(staging: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
+def number(
+    staging: DataFrame, workspace: Workspace, by_key: bool = False
+) -> dict[str, DataFrame]:
     """The stored `numbered` rows of all outriggers and entities."""
     names = [*ENTITIES, *OUTRIGGERS]
     rows = workspace.child("picked").store_all(names, lambda name: picked(staging, name))
-    return workspace.child("numbered").store_all(names, lambda name: numbered(rows[name], name))
+    ranked = workspace.child("ranked") if by_key else None
+    return workspace.child("numbered").store_all(
+        names, lambda name: numbered(rows[name], name, ranked)
+    )
 
 
 def build(
@@ -353,8 +382,8 @@ def build(
     ``strict=True`` raises on a value that has the right shape but does not fit its type, on
     a date that does not exist, and so on; by default such a value is NULL, and text beyond its
     declared length stays and is left to the audit. ``keys`` and ``linked`` are the stored results
-    of `number` and `linked`, if there are any already. With a ``target`` the tables are stored
-    there, the fact with its id; only lookups and fact are in the workspace too.
+    of `number` and `store_linked`, if there are any already. With a ``target`` the tables are
+    stored there; only the lookups, which later joins read, are in the workspace too.
     """
     keys = keys or number(staging, workspace)
     if strict:
@@ -366,7 +395,7 @@ def build(
     else:
         tables = {name: keys[name] for name in OUTRIGGERS}
     tables |= (target or workspace).store_all(ENTITIES, lambda name: entity(keys, name, strict))
-    fact = fact_rows(staging, keys, strict) if linked is None else linked_fact(linked, strict)
-    numbered_fact = position_id(workspace.store("fact_sales", fact), "id")
-    tables["fact_sales"] = target.store("fact_sales", numbered_fact) if target else numbered_fact
+    if linked is None:
+        linked = store_linked(workspace, staging, keys, kept=())
+    tables["fact_sales"] = (target or workspace).store("fact_sales", linked_fact(linked, strict))
     return tables

@@ -16,7 +16,7 @@ from salesmart.functions import (
     unusable,
     us_date,
 )
-from salesmart.operators import attach_key, dense_id, representative
+from salesmart.operators import attach_key, dense_id, ranked_id, representative
 from salesmart.workspace import Workspace
 
 
@@ -137,9 +137,13 @@ def picked(staging: DataFrame, name: str) -> DataFrame:
     return representative(rows, spec.keys, list(spec.columns), first_by="_id")
 
 
-def dimension(picked_rows: DataFrame, name: str) -> DataFrame:
-    """The stored `picked` rows with a dense id."""
-    return dense_id(picked_rows, DIMENSIONS[name].keys, DIMENSIONS[name].id)
+def dimension(picked_rows: DataFrame, name: str, by_key: Workspace | None = None) -> DataFrame:
+    """The stored `picked` rows with a dense id: the rank by md5 of the key or, given a workspace to
+    work in, by the key itself."""
+    spec = DIMENSIONS[name]
+    if by_key:
+        return ranked_id(picked_rows, spec.keys, spec.id, by_key.child(name))
+    return dense_id(picked_rows, spec.keys, spec.id)
 
 
 def link(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -189,11 +193,15 @@ def sales_fact(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dimensions(
-    staging: DataFrame, workspace: Workspace, target: Workspace | None = None
+    staging: DataFrame, workspace: Workspace, target: Workspace | None = None, by_key: bool = False
 ) -> dict[str, DataFrame]:
-    """The five dimensions, stored in ``target``. ``staging`` is scanned once per table."""
+    """The five dimensions, stored in ``target``. ``staging`` is scanned once per table. Ids are ranks
+    by md5 of the natural key or, if ``by_key``, by the key itself."""
     rows = workspace.child("picked").store_all(DIMENSIONS, lambda name: picked(staging, name))
-    return (target or workspace).store_all(DIMENSIONS, lambda name: dimension(rows[name], name))
+    ranked = workspace.child("ranked") if by_key else None
+    return (target or workspace).store_all(
+        DIMENSIONS, lambda name: dimension(rows[name], name, ranked)
+    )
 
 
 def build(

@@ -1,5 +1,7 @@
 from salesmart.sinks.writers import (
+    SWAP,
     Writer,
+    execute,
     save_all,
     to_database,
     to_folder,
@@ -10,6 +12,6 @@ from salesmart.sinks.writers import (
 )
 
 __all__ = [
-    "Writer", "save_all", "to_database", "to_folder",
+    "SWAP", "Writer", "execute", "save_all", "to_database", "to_folder",
     "write_csv", "write_jdbc", "write_parquet", "write_typed_table",
 ]

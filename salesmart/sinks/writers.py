@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schemas import ddl
@@ -15,6 +15,17 @@ from salesmart.workspace import CONCURRENT_WRITES
 
 Writer = Callable[[str, DataFrame], None]
 
+#: Statements by which a side table takes over a name. Other databases have their own, e.g.
+#: ``EXCHANGE TABLES {side} AND {name}``.
+SWAP = (
+    "ALTER TABLE {name} RENAME TO {old}",
+    "ALTER TABLE {side} RENAME TO {name}",
+    "DROP TABLE {old}",
+)
+DROP = "DROP TABLE IF EXISTS {table}"
+#: So that the swap finds a table under the name at the first run too.
+CREATE_LIKE = "CREATE TABLE IF NOT EXISTS {name} AS SELECT * FROM {side} WHERE 1 = 0"
+
 
 def write_parquet(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """One folder per value of ``partition_by``. Its rows meet before the write, so that not every
@@ -63,17 +74,63 @@ def write_jdbc(
     connections: int = 8,
     batch_size: int = 10_000,
     create_table_options: str | None = None,
+    replace: str = "drop",
+    swap: Sequence[str] = SWAP,
 ) -> None:
     """Database table, written over at most ``connections`` connections.
 
-    ``create_table_options`` is appended to ``CREATE TABLE``, e.g. a table engine.
+    ``create_table_options`` is appended to ``CREATE TABLE``, e.g. a table engine. ``replace`` says
+    what becomes of an old table: with "drop" it is dropped first and created anew; with
+    "truncate" it is emptied first and keeps its definition; with "swap" the rows go to a side
+    table, which takes over the name by the statements ``swap`` once all rows are there, so after a
+    failed write the old table is untouched.
     """
+    if replace not in ("drop", "truncate", "swap"):
+        raise ValueError(f"no way to replace a table: {replace}")
     options = {"batchsize": str(batch_size), "numPartitions": str(connections)}
     if create_table_options:
         options["createTableOptions"] = create_table_options
-    table.write.options(**options).jdbc(
-        database.url, name, mode="overwrite", properties=database.properties
-    )
+    if replace == "truncate":
+        options["truncate"] = "true"
+
+    def load(into: str) -> None:
+        table.write.options(**options).jdbc(
+            database.url, into, mode="overwrite", properties=database.properties
+        )
+
+    if replace != "swap":
+        return load(name)
+    names = {"name": name, "side": f"{name}__new", "old": f"{name}__old"}
+    spark = table.sparkSession
+    try:
+        load(names["side"])
+    except Exception:
+        execute(spark, database, [DROP.format(table=names["side"])])
+        raise
+    # What an earlier run may have left goes first; then all in one transaction, if there is one.
+    execute(spark, database, [DROP.format(table=names["old"])])
+    execute(spark, database, [CREATE_LIKE.format(**names), *(s.format(**names) for s in swap)])
+
+
+def execute(spark: SparkSession, database: Database, statements: Sequence[str]) -> None:
+    """Run statements in one transaction over a connection of the driver."""
+    if "driver" in database.properties:
+        spark._jvm.org.apache.spark.util.Utils.classForName(database.properties["driver"], True, True)
+    properties = spark._jvm.java.util.Properties()
+    for key, value in database.properties.items():
+        properties.setProperty(key, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(database.url, properties)
+    try:
+        connection.setAutoCommit(False)
+        for text in statements:
+            statement = connection.createStatement()
+            try:
+                statement.execute(text)
+            finally:
+                statement.close()
+        connection.commit()
+    finally:
+        connection.close()  # rolls back what is not committed
 
 
 def to_folder(folder: str) -> Writer:

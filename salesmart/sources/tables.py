@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.versions import Versions
+
 # Names under which reports in SQL see the star tables.
 STAR_VIEWS = {
     "sales_fact": "sf",
@@ -17,7 +19,11 @@ STAR_VIEWS = {
 
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Parquet tables of a folder; Spark prunes columns and pushes filters into each scan."""
+    """Parquet tables of a folder, or of its published version if it has one; Spark prunes columns
+    and pushes filters into each scan."""
+    versions = Versions(spark, folder)
+    if versions.current():
+        return versions.read(names)
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 

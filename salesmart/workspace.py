@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +39,13 @@ class Workspace:
     def child(self, name: str) -> Workspace:
         return Workspace(self.spark, f"{self.folder}/{name}")
 
-    def store(self, name: str, table: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    def store(
+        self, name: str, table: DataFrame, rows_per_file: int = ROWS_PER_FILE,
+        partition_by: Sequence[str] = (),
+    ) -> DataFrame:
         path = f"{self.folder}/{name}"
         write = table.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-        write.parquet(path)
+        write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
     def remove(self) -> None:

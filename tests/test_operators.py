@@ -6,7 +6,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from salesmart.operators import attach_key, dense_id, position_id, representative
+from salesmart.operators import attach_key, dense_id, position_id, ranked_id, representative
+from salesmart.plans import snowflake
+from salesmart.schemas import SNOWFLAKE_TABLES
+from salesmart.workspace import Workspace
 
 
 def plan(frame) -> str:
@@ -180,3 +183,36 @@ def test_position_id_moves_no_row_of_the_fact(spark, workspace):
         assert sorted(row.id for row in numbered.collect()) == list(range(1, 1001))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_ranked_id_is_the_row_number_by_key(spark, workspace, partitions):
+    keys = [(f"k{i}", None if i % 5 == 0 else str(i % 4)) for i in range(700)]
+    keys += [(None, None), ("", None), (None, ""), ("é", None), ("Z", "b"), ("\U0001f642", "b"), ("￿", "b")]
+    frame = spark.createDataFrame(keys, "a string, b string").repartition(partitions)
+    got = {(r.a, r.b): r.id for r in ranked_id(frame, ["a", "b"], "id", workspace).collect()}
+    encoded = lambda key: [(value is not None, (value or "").encode()) for value in key]
+    assert got == {key: i for i, key in enumerate(sorted(keys, key=encoded), start=1)}
+    assert ranked_id(frame.limit(0), ["a", "b"], "id", workspace.child("none")).count() == 0
+
+
+def test_ranked_id_never_sorts_the_rows_in_one_task(spark, workspace):
+    frame = workspace.store("t", spark.range(1000).selectExpr("string(id) a", "string(id) payload"))
+    text = plan(ranked_id(frame, ["a"], "id", workspace))
+    single = text.split("SinglePartition")
+    # Only the shifts, one row per range, go through a single partition; the rows are read as stored.
+    assert len(single) == 2 and "payload" not in single[1].split("BroadcastExchange")[0]
+    assert "rangepartitioning" not in text
+
+
+def test_the_fact_with_ids_is_written_once(spark, staging_rows, tmp_path, monkeypatch):
+    staging = staging_rows(*[{"id": str(i), "customer_email": None if i % 3 == 0 else f"c{i}@x.com"}
+                             for i in range(1, 40)]).repartition(4)
+    stored, store = [], Workspace.store
+    monkeypatch.setattr(Workspace, "store", lambda self, name, *a, **k: stored.append(name) or store(self, name, *a, **k))
+    work, out = Workspace(spark, str(tmp_path / "work")), Workspace(spark, str(tmp_path / "out"))
+    tables = snowflake.build(staging, work, target=out)
+    assert stored.count("fact_sales") == 1 and stored.count("linked") == 1
+    ids = sorted(r.id for r in tables["fact_sales"].select("id").collect())
+    assert ids == list(range(1, 27))
+    assert tables["fact_sales"].columns == [column for column, _ in SNOWFLAKE_TABLES["fact_sales"]]

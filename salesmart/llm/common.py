@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -105,12 +105,27 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def unused(rows: DataFrame, name: str) -> str:
-    """``name``, lengthened until no column of ``rows`` has it."""
-    taken = {column.lower() for column in rows.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def apart(
+    docs: DataFrame, used: Sequence[str], work: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``work`` done on rows with the ``used`` columns of ``docs``, which it may change, and its other
+    columns in a struct ``others``, which it must keep.
+
+    So no column of the caller has the name of a column that ``work`` makes on its way. Columns
+    that ``work`` adds come last; a column of the caller with the name of one gives way to it.
+    """
+    own = [name for name in docs.columns if name.lower() in used]
+    others = [name for name in docs.columns if name not in own]
+    rows = docs.select(
+        *map(quoted, own), F.struct(F.lit(0).alias("_"), *map(quoted, others)).alias("others"))
+    result = work(rows)
+    new = [name for name in result.columns if name not in rows.columns]
+    given = {name.lower() for name in new}
+    return result.select(
+        *[F.col(quoted(name) if name in own else f"others.{quoted(name)}").alias(name)
+          for name in docs.columns if name.lower() not in given],
+        *map(quoted, new),
+    )
 
 
 def mix64(values: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import row_key
+from salesmart.llm.common import apart, maybe_among, row_key
 from salesmart.workspace import Workspace
 
 #: Distinct sites from which on a line is boilerplate.
@@ -81,6 +81,13 @@ def without_boilerplate(
     docs: DataFrame, workspace: Workspace, sites: int = SITES, band: float = BAND
 ) -> DataFrame:
     """``docs`` with the text that is left, and two more columns, n_lines and n_removed."""
+    return apart(docs, ["doc_id", "source", "text"],
+                 lambda docs: _without_boilerplate(docs, workspace, sites, band))
+
+
+def _without_boilerplate(
+    docs: DataFrame, workspace: Workspace, sites: int, band: float
+) -> DataFrame:
     rows = lines(docs)
     found = rows.join(boilerplate(rows, workspace, sites, band), LINE)
     again = found.where(F.col("_place") != F.col("_first"))
@@ -90,13 +97,16 @@ def without_boilerplate(
     all_lines = F.split("_text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
     text = F.array_join(F.transform(F.sort_array(kept), lambda i: F.get("_all", i)), "\n")
-    others = [name for name in docs.columns if name.lower() not in ("n_lines", "n_removed")]
-    result = _keyed(docs).join(gone, KEY, "left").withColumn("_all", all_lines).withColumns({
+    keyed = _keyed(docs)
+    # Texts that surely lose nothing stay where they are.
+    whole = maybe_among(keyed, gone, "_key", "left_anti").withColumn("_gone", F.lit(None).cast("array<int>"))
+    perhaps = maybe_among(keyed, gone, "_key").join(gone, KEY, "left").select(*whole.columns)
+    result = whole.unionByName(perhaps).withColumn("_all", all_lines).withColumns({
         "n_lines": F.when(F.col("_text").isNull(), 0).otherwise(F.size("_all")).cast("bigint"),
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
         "text": F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(text),
     })
-    return result.select(*others, "n_lines", "n_removed")
+    return result.select(*docs.columns, "n_lines", "n_removed")
 
 
 def op2_line_dedup(spark, folder: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import row_key, with_columns, words_of
+from salesmart.llm.common import apart, row_key, with_columns, words_of
 from salesmart.workspace import Workspace
 
 #: Words in a block, the last block of a source may be shorter.
@@ -224,18 +224,24 @@ def sequence(placed: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataF
 
 
 def mixed(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken and key columns."""
+    """One row per document: doc_id, source, size, source_size, target, taken (words in the mix), the
+    first and last slot of the schedule that holds some of it (NULL: none), n_parts (its parts in
+    slots) and key columns."""
     sizes = workspace.store("sizes", sized(docs))
     sources = workspace.store("sources", targets(sizes))
     placed = workspace.store("placed", streams(_numbered(sizes, sources)))
-    taken = sequence(placed, sources, block).groupBy("source_no", "begin").agg(F.sum("words").alias("taken"))
+    taken = sequence(placed, sources, block).groupBy("source_no", "begin").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+        F.max("slot").alias("last_slot"), F.count(F.lit(1)).alias("n_parts"),
+    )
     # Documents without words share their place with the next one, and take nothing.
     at = F.when(F.col("size") > 0, F.col("begin"))
     return placed.withColumn("_at", at).join(
         taken.withColumnRenamed("begin", "_at"), ["source_no", "_at"], "left"
     ).select(
         "doc_id", "source", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "_key", "_key2",
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot", "last_slot",
+        F.coalesce("n_parts", F.lit(0)).alias("n_parts"), "_key", "_key2",
     )
 
 
@@ -247,15 +253,45 @@ def in_order(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataF
     return sequence(placed, sources, block)
 
 
-def repeated(docs: DataFrame, workspace: Workspace, block: int = BLOCK) -> DataFrame:
-    """``docs``, each row as often as the mix takes it: ``taken / size``, rounded."""
-    mix = mixed(docs, workspace, block).groupBy("_key", "_key2").agg(
-        F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times")
-    )
-    keyed = docs.withColumns(_keys(docs))
-    return keyed.join(mix.where("_times > 0"), ["_key", "_key2"]).withColumn(
-        "_time", F.explode(F.sequence(F.lit(1), F.col("_times")))
-    ).select(*docs.columns)
+def repeated(
+    docs: DataFrame, workspace: Workspace, block: int = BLOCK, length: str | None = None
+) -> DataFrame:
+    """The mix as documents: a row for each time that the schedule takes a row of ``docs``, sorted by
+    the slot in which it begins.
+
+    A source's stream ends where its target is filled, so one document of a source may be taken in
+    part: its text is then the words taken, joined by spaces, and the column ``length``, if given,
+    their length. Together the texts hold exactly the words that `mixed` says. Documents without
+    words are not in the mix.
+    """
+    sizes = workspace.store("sizes", sized(docs))
+    sources = workspace.store("sources", targets(sizes))
+    placed = workspace.store("placed", streams(_numbered(sizes, sources)))
+    # One row per time: parts of one round through the stream.
+    begins = placed.where("size > 0").select("source_no", "begin", "size", "source_size", "_key", "_key2")
+    turn = F.floor((F.col("place") - F.col("begin")) / F.col("source_size"))
+    times = sequence(placed, sources, block).join(begins, ["source_no", "begin"]).groupBy(
+        "_key", "_key2", "source_no", "begin", turn.alias("turn")
+    ).agg(F.min("slot").alias("slot"), F.sum("words").alias("words"), F.first("size").alias("size"))
+    # Rows that are equal in doc_id, source and text share a key: each gets the times of one place.
+    copy = Window.partitionBy("_key", "_key2")
+    times = times.withColumn("copy", F.dense_rank().over(copy.orderBy("begin"))).select(
+        "_key", "_key2", "copy", "slot", "source_no", "words", "size")
+
+    def chosen(docs: DataFrame) -> DataFrame:
+        rows = docs.withColumns(_keys(docs))
+        rows = rows.withColumn("copy", F.row_number().over(copy.orderBy(F.lit(0))))
+        taken = rows.join(times, ["_key", "_key2", "copy"])
+        cut = F.array_join(F.slice(words_of(F.col("text")), 1, F.col("words").cast("int")), " ")
+        text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("text"))
+        whole = taken.withColumn("text", text).withColumn("_cut", F.col("words") < F.col("size"))
+        if length:
+            new = F.length("text").cast(docs.schema[length].dataType)
+            whole = whole.withColumn(length, F.when(F.col("_cut"), new).otherwise(F.col(length)))
+        whole = whole.repartitionByRange("slot", "source_no").sortWithinPartitions("slot", "source_no")
+        return whole.select(*docs.columns)
+
+    return apart(docs, [*DOCUMENT, *([length.lower()] if length else [])], chosen)
 
 
 def _keys(docs: DataFrame) -> dict[str, Column]:
@@ -271,4 +307,4 @@ def _keys(docs: DataFrame) -> dict[str, Column]:
 def op10_mixing(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     mix = mixed(docs, Workspace(spark))
-    return mix.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "source", "size", "source_size", "target", "taken", "first_slot", "last_slot", "n_parts")

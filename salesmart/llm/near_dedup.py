@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.block import Block
-from salesmart.llm.common import by_weight, flat, maybe_among, mix64, with_columns, words_of
+from salesmart.llm.common import apart, by_weight, flat, maybe_among, mix64, with_columns, words_of
 from salesmart.workspace import Workspace
 
 SHINGLE = 5
@@ -422,6 +422,10 @@ def classes(docs: DataFrame, workspace: Workspace, similar: float = SIMILAR) ->
 
 def keep_one(docs: DataFrame, workspace: Workspace, similar: float = SIMILAR) -> DataFrame:
     """The documents of ``docs``, of each class only the first by doc_id, NULL last."""
+    return apart(docs, ["doc_id", "text"], lambda docs: _keep_one(docs, workspace, similar))
+
+
+def _keep_one(docs: DataFrame, workspace: Workspace, similar: float) -> DataFrame:
     found = workspace.store("rows", classes(docs, workspace, similar))
     order = Window.partitionBy("component").orderBy(F.col("doc_id").asc_nulls_last(), *NODE)
     size = found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -21,7 +21,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import let, or_empty, with_columns, words_of
+from salesmart.llm.common import apart, let, or_empty, with_columns, words_of
 
 #: Number of hashed features.
 BUCKETS = 10_000
@@ -165,12 +165,15 @@ def verdicts(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    # A column that is not deterministic keeps Spark from pushing the filter below the steps that
-    # compute the verdict, which would write each step out in every place that uses it.
-    rows = judged(docs, labels, threshold).withColumn("_row", F.monotonically_increasing_id())
-    kept = rows.where(F.col("_quality.kept") & (F.col("_row") >= 0))
-    return kept.select(*[kept[f"`{name}`"] for name in docs.columns])
+    """The documents that pass, with all their columns, whatever their names."""
+    def passing(docs: DataFrame) -> DataFrame:
+        # A column that is not deterministic keeps Spark from pushing the filter below the steps that
+        # compute the verdict, which would write each step out in every place that uses it.
+        rows = judged(docs, labels, threshold).withColumn("_row", F.monotonically_increasing_id())
+        kept = rows.where(F.col("_quality.kept") & (F.col("_row") >= 0))
+        return kept.select(*docs.columns)
+
+    return apart(docs, ["doc_id", "text"], passing)
 
 
 def op1_quality(spark, folder: str) -> DataFrame:

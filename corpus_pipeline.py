@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import bpe, line_dedup, mixing, near_dedup, quality
-from salesmart.llm.common import let_workers_import
+from salesmart.llm.common import let_workers_import, quoted
 from salesmart.workspace import Workspace
 
 
@@ -30,7 +30,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         cleaned = cleaned.withColumn(
             "n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
         )
-    return cleaned.select(*docs.columns)
+    return cleaned.select(*map(quoted, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeated(docs, Workspace(spark))
+    """The mix in the order of its schedule; a document taken in part gets a new n_chars."""
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return mixing.repeated(docs, Workspace(spark), length=length)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

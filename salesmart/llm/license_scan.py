@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import let, maybe_among, or_empty, quoted, with_columns
+from salesmart.workspace import Workspace
 
 #: Words of a run. No template is shorter.
 RUN = 3
@@ -172,7 +173,7 @@ FINDING = ("array<struct<label:string,template:int,phrase:boolean,first_word:int
            "shown:int,covered:double,places:array<int>>>")
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, space: Workspace, text: str = "text") -> DataFrame:
     """``docs`` with n_words and licenses: findings (label, template, phrase, first_word,
     after_word, shown, covered, places), by template and place. ``places`` are those where the whole
     template stands."""
@@ -187,6 +188,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     spans = merged(votes(rows, known)).join(F.broadcast(known), "template")
     found = spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct(
         "template", "first", "after", "label", "phrase", "wanted", "diagonals"))).alias("spans"))
+    found = space.store("spans", found)  # read by both branches below
     without = maybe_among(rows, found, "k1", "left_anti").select(
         "row", F.size(license_words(F.col("text"))).cast("bigint").alias("n_words"),
         F.array().cast(FINDING).alias("licenses"),
@@ -220,4 +222,5 @@ def digest(found: DataFrame) -> DataFrame:
 
 def op11_licenses(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    return digest(scan(with_columns(docs, {"doc_id": "bigint", "text": "string"})))
+    docs = with_columns(docs, {"doc_id": "bigint", "text": "string"})
+    return digest(scan(docs, Workspace(spark)))

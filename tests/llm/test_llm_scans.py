@@ -43,19 +43,19 @@ def base(text):
             ",".join(sorted(labels)))
 
 
-def test_license_phrases_equal_brute_force(documents, odd_rows):  # noqa: F811
+def test_license_phrases_equal_brute_force(documents, workspace, odd_rows):  # noqa: F811
     draw = random.Random(3)
     parts = ["under the", "MIT", "license", "Apache License, Version 2", "CC BY-NC", "cc by", "nc", "\n",
              "under the mit license", "é", "K", "İ", "version 2", "the", "_"]
     rows = [(100 + i, " ".join(draw.choices(parts, k=draw.randrange(1, 40))), "s") for i in range(300)]
     rows += [(900, "cc by nc " * 4000, "s"), (901, "cc by nc " * 4000, "s"), *odd_rows]
-    found = license_scan.digest(license_scan.scan(documents(*rows))).collect()
+    found = license_scan.digest(license_scan.scan(documents(*rows), workspace)).collect()
     assert Counter((r.doc_id, *r[1:6]) for r in found) == Counter((i, *base(t)) for i, t, _ in rows)
     assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) and 0 <= r.score <= 1
                and (r.score == 1 or not r.n_base) for r in found)
 
 
-def test_notices_are_found_with_edits_and_told_apart(documents):  # noqa: F811
+def test_notices_are_found_with_edits_and_told_apart(documents, workspace):  # noqa: F811
     draw = random.Random(4)
     filler = [f"w{i}" for i in range(500)]
     rows, expected = [], {}
@@ -74,7 +74,7 @@ def test_notices_are_found_with_edits_and_told_apart(documents):  # noqa: F811
             doc = 10 * n + kind
             rows.append((doc, " ".join(text), "s"))
             expected[doc] = label if kind < 3 else None
-    found = {r.doc_id: r for r in license_scan.digest(license_scan.scan(documents(*rows))).collect()}
+    found = {r.doc_id: r for r in license_scan.digest(license_scan.scan(documents(*rows), workspace)).collect()}
     for doc, label in expected.items():
         got = set(found[doc].labels.split(",")) - {""}
         assert label in got if label else found[doc].score < 1, (doc, label, got)
@@ -82,16 +82,16 @@ def test_notices_are_found_with_edits_and_told_apart(documents):  # noqa: F811
     assert whole == {doc: expected[doc] for doc in whole}
     plain = [(i, " ".join(draw.choices("the of license software under version and to a is".split(), k=400)), "s")
              for i in range(200)]
-    assert not any(r.labels for r in license_scan.digest(license_scan.scan(documents(*plain))).collect())
+    assert not any(r.labels for r in license_scan.digest(license_scan.scan(documents(*plain), workspace)).collect())
 
 
-def test_scan_keeps_the_callers_columns(clashing):
+def test_scan_keeps_the_callers_columns(clashing, workspace):
     docs = clashing((1, "Released under the MIT License."), (1, "Released under the MIT License."), (2, None))
-    found = license_scan.scan(docs)
+    found = license_scan.scan(docs, workspace)
     assert found.columns == [c for c in docs.columns if c not in ("n_words", "licenses")] + ["n_words", "licenses"]
     assert sorted((r.doc_id, r.row, r.k1, r.kept, r.block, r.n_words, len(r.licenses)) for r in found.collect()) == [
         (1, 8, 9, 10, 11, 5, 1), (1, 8, 9, 10, 11, 5, 1), (2, 8, 9, 10, 11, 0, 0)]
-    assert license_scan.scan(docs.limit(0)).count() == 0
+    assert license_scan.scan(docs.limit(0), workspace.child("none")).count() == 0
 
 
 # Alignment

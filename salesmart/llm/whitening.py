@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import flat, lists, quoted, unused, with_columns
+from salesmart.llm.common import flat, lists, quoted, with_columns
 
 SCALE = 64
 OFFSET = 1_000_000
@@ -258,24 +258,26 @@ def whiten(
     """Columns ``keep`` (all) of the rows that take part, with n, deviation and whitened (a list)."""
     names = docs.columns if keep is None else keep
     names = [name for name in names if name.lower() not in RESULTS]
-    x, d = unused(docs, "_x"), len(model.sums)
-    grid = on_grid(docs[quoted(vector)], model.scale, model.offset).alias(x)
-    rows = docs.select(*map(quoted, names), grid).where(F.size(x) == d).where(F.lit(model.n > 0))
+    d = len(model.sums)
+    grid = on_grid(docs[quoted(vector)], model.scale, model.offset).alias("x")
+    kept = F.struct(F.lit(0).alias("_"), *map(quoted, names)).alias("kept")
+    rows = docs.select(kept, grid).where(F.size("x") == d).where(F.lit(model.n > 0))
     schema = T.StructType([
-        *(f for f in rows.schema if f.name != x), T.StructField("n", T.LongType()),
-        T.StructField("deviation", T.LongType()), T.StructField("whitened", T.ArrayType(T.DoubleType())),
+        rows.schema["kept"], T.StructField("n", T.LongType()), T.StructField("deviation", T.LongType()),
+        T.StructField("whitened", T.ArrayType(T.DoubleType())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = _whitener(model) if model.n else None
         for batch in batches:
-            off, white = work(_matrix(batch.column(x), d))
+            off, white = work(_matrix(batch.column("x"), d))
             ends = np.arange(len(white) + 1) * white.shape[1]
-            columns = [*(batch.column(name) for name in names), pa.array([model.n] * len(off), pa.int64()),
+            columns = [batch.column("kept"), pa.array([model.n] * len(off), pa.int64()),
                        pa.array(off, pa.int64()), lists(white.ravel(), ends)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *RESULTS])
+            yield pa.RecordBatch.from_arrays(columns, names=["kept", *RESULTS])
 
-    return rows.mapInArrow(run, schema)
+    back = [F.col(f"kept.{quoted(name)}").alias(name) for name in names]
+    return rows.mapInArrow(run, schema).select(*back, *RESULTS)
 
 
 def identity_error(rows: DataFrame, model: Whitening) -> float:

@@ -10,12 +10,13 @@ words, by relative frequency in their class. A word never seen has a class of it
 half an occurrence after any other. It adds up to one over all texts.
 
 Counts and classes of the words grow with the corpus and stay a table; what is broadcast has a fixed
-bound: those of at most `FREQUENT` words, the first by count and then by hash. Those of other words
-reach the documents by a join, with the pairs of neighbours that they are in.
+bound: those of at most `FREQUENT` words, the first by count and then by hash. For its other words
+a block of documents asks by a join, once for each distinct word, and the answers come back to the
+block; the documents with all their classes are then stored, and both the transitions and the
+scores are read off them.
 
 Defined results: a NULL text is empty, its only token is the end; a NULL doc_id counts as training;
-rows equal in doc_id and text are scored alike; extra columns are ignored. Words are told apart by
-64-bit hashes.
+repeated rows are scored each; extra columns are ignored. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import by_weight, flat, mix64, or_empty, row_key, with_columns, word_hashes
+from salesmart.llm.common import by_weight, flat, lists, or_empty, with_columns, word_hashes
 from salesmart.workspace import Workspace
 
 #: Most words whose counts are broadcast: 4 MB. And most words that are clustered.
@@ -58,11 +60,11 @@ def lowered(text: Column) -> Column:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """doc_id, key, held_out and word hashes of every document."""
+    """doc_id, held_out and word hashes of every document."""
     rows = with_columns(docs, DOCUMENT).withColumn("text", or_empty(F.col("text")))
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0))
     return rows.select(
-        "doc_id", *row_key("doc_id", "text"), (fold == 1).alias("held_out"),
+        "doc_id", (fold == 1).alias("held_out"),
         word_hashes(lowered(F.col("text"))).alias("words"),
     )
 
@@ -325,130 +327,156 @@ def rest_classes(training: DataFrame, words, assigned, table: np.ndarray, classe
     return per_word.mapInArrow(run, "word bigint, c int")
 
 
-def _class_pairs(words: Words, hashes: np.ndarray, offsets: np.ndarray):
-    """Hash and class of each token and of the one before, -1 where the class is not broadcast."""
-    before, current, place, there = _neighbours(words, hashes, offsets)
-    cls = np.where(there, words.cls[place] if len(words.cls) else 0, -1)
-    token = np.insert(hashes, offsets[1:], 0)
-    current = np.insert(cls, offsets[1:], words.end_class)
-    ahead, previous = np.roll(token, 1), np.roll(current, 1)
-    return ahead, previous, token, current, place, there
-
-
-def _open(ahead, previous, token, current) -> tuple[np.ndarray, pa.StructArray]:
-    """Places and rows of the pairs with a class that is not broadcast. A hash that is not needed is
-    replaced by another, so that joins do not meet a hot key."""
-    at = np.flatnonzero((previous < 0) | (current < 0))
-    a, b, ca, cb = ahead[at], token[at], previous[at], current[at]
-    some_a = mix64(b.view(np.uint64) + np.uint64(1)).view(np.int64)
-    some_b = mix64(a.view(np.uint64) + np.uint64(1)).view(np.int64)
-    a, b = np.where(ca < 0, a, some_a), np.where(cb < 0, b, some_b)
-    return at, pa.StructArray.from_arrays(
-        [pa.array(a), pa.array(ca, pa.int32()), pa.array(b), pa.array(cb, pa.int32())],
-        names=["a", "ca", "b", "cb"],
-    )
+CLASSED = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
+           "emission double, classes array<smallint>")
+
+
+def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])[offsets]
+    return sums[1:] - sums[:-1]
 
 
-def transitions(training: DataFrame, words, lexicon: DataFrame, classes: int) -> np.ndarray:
-    """How often a class follows another in the training documents."""
+def coded(rows: DataFrame, words, base_total: float) -> DataFrame:
+    """A row per document with the classes of its words, and a row per block with its rare words.
+
+    ``codes`` holds the class of a word whose class is broadcast; any other word has its number
+    among the distinct ``rare`` words of the block, counted on from the number of classes.
+    """
+    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
+              "emission double, block bigint, codes array<int>, rare array<bigint>")
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, number = words.value, TaskContext.get().partitionId() << 32
+        seen, base = np.log10(known.count), np.log10((known.count + 0.5) / base_total)
+        for batch in by_weight(batches, "words", BLOCK_WORDS):
+            hashes, offsets = flat(batch.column("words"))
+            place, there = known.find(hashes)
+            rare, at = np.unique(hashes[~there], return_inverse=True)
+            codes = np.empty(len(hashes), np.int32)
+            codes[there] = known.cls[place[there]]
+            codes[~there] = known.end_class + 1 + at
+
+            def summed(values: np.ndarray) -> pa.Array:
+                every = np.zeros(len(hashes), values.dtype)
+                every[there] = values[place[there]]
+                return pa.array(_per_text(every, offsets))
+
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("held_out"),
+                pa.array(np.diff(offsets) + 1), summed(np.ones(len(seen), np.int64)),
+                summed(base), summed(seen), pa.array(np.full(n, number)), lists(codes, offsets),
+                pa.nulls(n, pa.list_(pa.int64())),
+            ], names=names)
+            yield pa.RecordBatch.from_arrays([
+                *(pa.nulls(1, kind) for kind in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
+                                                 pa.float64(), pa.float64())),
+                pa.array(np.full(1, number)), pa.nulls(1, pa.list_(pa.int32())),
+                lists(rare, np.array([0, len(rare)])),
+            ], names=names)
+            number += 1
+
+    return rows.select("doc_id", "held_out", "words").mapInArrow(run, schema)
+
+
+def classed(blocks: DataFrame, lexicon: DataFrame, classes: int, base_total: float) -> DataFrame:
+    """Documents with the classes of all their words. A block asks for each of its rare words once,
+    and the answers come back to the block; a word never seen has the class ``classes``."""
+    asked = blocks.where("rare IS NOT NULL").select(
+        F.col("block").alias("of"), F.posexplode("rare").alias("number", "word"))
+    answers = asked.join(lexicon, "word", "left").select(
+        "of", "number", F.coalesce("c", F.lit(classes)).alias("c"), F.coalesce("n", F.lit(0)).alias("n"))
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        at = found.column("number").to_numpy()
+        c, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        c[at], n[at] = found.column("c").to_numpy(), found.column("n").to_numpy()
+        codes, offsets = flat(texts.column("codes").combine_chunks())
+        rare = codes >= classes + 2
+        local = codes[rare] - (classes + 2)
+        result = codes.astype(np.int16)
+        result[rare] = c[local]
+
+        def added(name: str, values: np.ndarray) -> np.ndarray:
+            every = np.zeros(len(codes), values.dtype)
+            every[rare] = values[local]
+            return pa.array(texts.column(name).to_numpy() + _per_text(every, offsets))
+
+        kept = [texts.column(name) for name in ("doc_id", "held_out", "n_tokens")]
+        return pa.table([
+            *kept, added("n_known", (n > 0).astype(np.int64)),
+            added("base_score", np.log10((n + 0.5) / base_total)),
+            added("emission", np.log10(np.maximum(n, 1))), lists(result, offsets),
+        ], names=[part.split()[0] for part in CLASSED.split(", ")])
+
+    documents = blocks.where("rare IS NULL").drop("rare")
+    return documents.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(run, CLASSED)
+
+
+def _steps(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each token and of the one before, end tokens included, and where texts begin."""
+    classes, offsets = flat(column)
+    current = np.insert(classes.astype(np.int64), offsets[1:], end)
+    before = np.roll(current, 1)  # the end of the text before stands for the beginning
+    return before, current, offsets + np.arange(len(offsets))
+
+
+def transitions(training: DataFrame, classes: int) -> np.ndarray:
+    """How often a class follows another in the classed training documents."""
     width = classes + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(width * width, np.int64)
-        for batch in by_weight(batches, "words", BLOCK_WORDS):
-            ahead, previous, token, current, _, _ = _class_pairs(
-                words.value, *flat(batch.column("words")))
-            closed = (previous >= 0) & (current >= 0)
-            counts += np.bincount(
-                previous[closed] * width + current[closed], minlength=width * width)
-            rows = _open(ahead, previous, token, current)[1]
-            yield pa.RecordBatch.from_arrays(
-                [*rows.flatten(), pa.array(np.ones(len(rows), np.int64))],
-                names=["a", "ca", "b", "cb", "n"],
-            )
+        for batch in by_weight(batches, "classes", BLOCK_WORDS):
+            before, current, _ = _steps(batch.column("classes"), classes + 1)
+            counts += np.bincount(before * width + current, minlength=width * width)
         found = np.flatnonzero(counts)
-        # Hashes of closed pairs are not looked at.
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found), pa.array((found // width).astype(np.int32)), pa.array(found),
-             pa.array((found % width).astype(np.int32)), pa.array(counts[found])],
-            names=["a", "ca", "b", "cb", "n"],
-        )
+            [pa.array((found // width).astype(np.int32)), pa.array((found % width).astype(np.int32)),
+             pa.array(counts[found])], names=["ca", "cb", "n"])
 
-    rows = training.select("words").mapInArrow(run, "a bigint, ca int, b bigint, cb int, n bigint")
-    found = _with_classes(rows, lexicon, classes).groupBy("ca", "cb").agg(F.sum("n"))
+    rows = training.select("classes").mapInArrow(run, "ca int, cb int, n bigint")
     table = np.zeros((width, width))
-    for ca, cb, n in found.collect():
+    for ca, cb, n in rows.groupBy("ca", "cb").agg(F.sum("n")).collect():
         table[ca, cb] = n
     return table
 
 
-def _with_classes(rows: DataFrame, lexicon: DataFrame, classes: int) -> DataFrame:
-    """``rows`` with classes in place of -1, that of words never seen being ``classes``; n_b is the
-    count of a word b that is not broadcast, 0 if never seen, else NULL."""
-    first = lexicon.select(F.col("word").alias("a"), F.col("c").alias("_a"))
-    second = lexicon.select(F.col("word").alias("b"), F.col("c").alias("_b"), F.col("n").alias("_n"))
-    never = F.lit(classes)
-    return rows.join(first, "a", "left").join(second, "b", "left").withColumns({
-        "n_b": F.when(F.col("cb") < 0, F.coalesce("_n", F.lit(0))),
-        "ca": F.when(F.col("ca") < 0, F.coalesce("_a", never)).otherwise(F.col("ca")),
-        "cb": F.when(F.col("cb") < 0, F.coalesce("_b", never)).otherwise(F.col("cb")),
-    }).drop("_a", "_b", "_n")
-
-
 class Model:
-    """Logarithms that score a token: transitions, and emissions of the frequent words."""
+    """Logarithms that score a token: transitions, and how often its class is seen."""
 
-    def __init__(self, words: Words, table: np.ndarray, totals: dict):
-        self.words = words
+    def __init__(self, table: np.ndarray, base_total: float):
         classes = table.shape[0]
         never = classes - 2
         seen = table.sum(axis=0)
         usual = (seen + 1) / (seen.sum() + classes)
-        self.base_total = totals["tokens"] + 0.5 * (totals["words"] + 1)
         chance = (table + SMOOTHING * usual) / (table.sum(axis=1, keepdims=True) + SMOOTHING)
-        unseen = min(0.5 / self.base_total, 0.5)
+        unseen = min(0.5 / base_total, 0.5)
         chance *= (1 - unseen) / (1 - chance[:, never:never + 1])
         chance[:, never] = unseen
         self.transition = np.log10(chance)
         self.seen = np.log10(np.maximum(seen, 1))
-        self.emission = np.log10(words.count) - self.seen[words.cls]
-        self.base = np.log10((words.count + 0.5) / self.base_total)
-        self.base_end = float(np.log10((totals["texts"] + 0.5) / self.base_total))
-        self.end_known = int(totals["texts"] > 0)
-
-
-def _score_block(model: Model, batch: pa.RecordBatch) -> pa.RecordBatch:
-    hashes, offsets = flat(batch.column("words"))
-    ahead, previous, token, current, place, there = _class_pairs(model.words, hashes, offsets)
-    ends = np.concatenate([[0], offsets[1:] + np.arange(1, len(offsets))])  # with the end tokens
-    closed = (previous >= 0) & (current >= 0)
-    steps = np.where(closed, model.transition[previous, current], 0)
-    at, pairs = _open(ahead, previous, token, current)
-
-    def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(values)])
-        return sums[offsets[1:]] - sums[offsets[:-1]]
-
-    place = np.where(there, place, 0)
-    emission = np.where(there, model.emission[place], 0) if len(model.emission) else np.zeros(len(place))
-    base = np.where(there, model.base[place], 0) if len(model.base) else np.zeros(len(place))
-    score = per_text(steps, ends) + per_text(emission, offsets)
-    known = np.diff(np.concatenate([[0], np.cumsum(there)])[offsets]) + model.end_known
-    rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, ends), pa.int32()), pairs)
-    return pa.RecordBatch.from_arrays(
-        [
-            *(batch.column(name) for name in ("doc_id", "_key", "_key2", "held_out")),
-            pa.array(np.diff(offsets) + 1, pa.int64()), pa.array(known, pa.int64()),
-            pa.array(per_text(base, offsets) + model.base_end), pa.array(score), rest,
-        ],
-        names=["doc_id", "_key", "_key2", "held_out", "n_tokens", "n_known", "base_score",
-               "score", "rest"],
-    )
+        self.seen[never:] = 0  # a word never seen and the end have a class of their own
+        self.end = classes - 1
+
+
+def scored(documents: DataFrame, model) -> DataFrame:
+    """The score of each of the `classed` documents."""
+    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
+              "score double")
+    names = [part.split()[0] for part in schema.split(", ")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for batch in by_weight(batches, "classes", BLOCK_WORDS):
+            before, current, begins = _steps(batch.column("classes"), m.end)
+            steps = _per_text(m.transition[before, current] - m.seen[current], begins)
+            score = pa.array(batch.column("emission").to_numpy() + steps)
+            kept = [batch.column(name) for name in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, score], names=names)
 
-SCORED = ("doc_id bigint, _key bigint, _key2 bigint, held_out boolean, n_tokens bigint, "
-          "n_known bigint, base_score double, score double, "
-          "rest array<struct<a:bigint,ca:int,b:bigint,cb:int>>")
+    return documents.mapInArrow(run, schema)
 
 
 def scores(
@@ -494,40 +522,17 @@ def scores(
     known.cls[place[there]] = found.column("c").to_numpy()[there]
     lexicon = rest.join(sure, "word", "left_anti").join(counts.select("word", "n"), "word")
     lexicon = workspace.store("lexicon", lexicon.select("word", "n", "c"))
-    classed = spark.broadcast(known)
-    table = transitions(training, classed, lexicon, classes)
-
     words, tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    totals = {"texts": texts, "words": words + (texts > 0), "tokens": tokens + texts}
-    model = Model(known, table, totals)
-    sent = spark.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_weight(batches, "words", BLOCK_WORDS):
-            yield _score_block(sent.value, batch)
-
-    scored = workspace.store("scored", rows.mapInArrow(run, SCORED))
-    # Words that are not frequent, once per distinct row.
-    rest = scored.where(F.size("rest") > 0).select("_key", "_key2", "rest")
-    rest = rest.dropDuplicates(["_key", "_key2"]).select("_key", "_key2", F.inline("rest"))
-
-    def constants(values: np.ndarray) -> Column:
-        return F.split(F.lit(",".join(map(repr, values.ravel().tolist()))), ",").cast("array<double>")
-
-    step = F.get(constants(model.transition), F.col("ca") * (classes + 2) + F.col("cb"))
-    emitted = F.when(F.col("n_b") > 0, F.log10("n_b") - F.get(constants(model.seen), F.col("cb")))
-    added = _with_classes(rest, lexicon, classes).groupBy("_key", "_key2").agg(
-        F.count_if(F.col("n_b") > 0).alias("more_known"),
-        F.sum(F.log10((F.col("n_b") + 0.5) / model.base_total)).alias("more_base"),
-        F.sum(step + F.coalesce(emitted, F.lit(0.0))).alias("more_score"),
-    )
-    nothing = F.lit(0.0)
-    return scored.drop("rest").join(added, ["_key", "_key2"], "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(totals["tokens"]).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_base", nothing)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", nothing)).alias("score"),
+    total, distinct = tokens + texts, words + (texts > 0)  # with the end tokens
+    base_total = total + 0.5 * (distinct + 1)
+    base_end, end_known = float(np.log10((texts + 0.5) / base_total)), int(texts > 0)
+    blocks = workspace.store("blocks", coded(rows, spark.broadcast(known), base_total))
+    documents = workspace.store("classed", classed(blocks, lexicon, classes, base_total))
+    model = Model(transitions(documents.where("NOT held_out"), classes), base_total)
+    return scored(documents, spark.broadcast(model)).select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + end_known).alias("n_known"),
+        F.lit(total).cast("bigint").alias("train_tokens"),
+        (F.col("base_score") + base_end).alias("base_score"), "score",
     )
 
 

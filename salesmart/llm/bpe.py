@@ -26,20 +26,20 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import by_weight, flat, gather, lists, or_empty, quoted, unused, with_columns
+from salesmart.llm.common import by_weight, flat, gather, lists, or_empty, quoted, with_columns
 
 #: Bytes of text that a task works on at a time, but for a longer single text.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 
-#: Words whose encoding a worker remembers between blocks: about 100 MB.
-CACHED_WORDS = 400_000
+#: Words whose encoding a worker remembers between blocks: about 50 MB.
+CACHED_WORDS = 250_000
 
-#: Steps and neighbours that a worker remembers between blocks: about 100 MB.
-REMEMBERED = 1_000_000
+#: Steps and neighbours that a worker remembers between blocks: about 50 MB.
+REMEMBERED = 400_000
 
 # Fixed value: the pattern that cuts a text before the merges, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -313,21 +313,15 @@ def encode(
     """``docs`` with the token ids of ``text`` in place of a column ``ids``."""
     path = vocabulary_path or default_vocabulary()
     kept = [name for name in docs.columns if name.lower() != ids.lower()]
-    work = unused(docs, "_text")
-    rows = docs.select(*map(quoted, kept), or_empty(docs[quoted(text)].cast("string")).alias(work))
-    schema = T.StructType([
-        *(field for field in rows.schema.fields if field.name != work),
-        T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
-    ])
+    value = or_empty(docs[quoted(text)].cast("string")).alias("value")
+    kind = T.ArrayType(T.IntegerType(), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for batch in by_weight(batches, work, BLOCK_BYTES):
-            numbers, offsets = words.encode(batch.column(work))
-            columns = [batch.column(name) for name in kept] + [lists(numbers, offsets)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids])
+        for batch in by_weight(batches, "value", BLOCK_BYTES):
+            yield _made(batch, lists(*words.encode(batch.column("value"))))
 
-    return rows.mapInArrow(run, schema)
+    return _mapped(docs, kept, value, run, ids, kind)
 
 
 def decode(
@@ -339,18 +333,25 @@ def decode(
     """
     path = vocabulary_path or default_vocabulary()
     kept = [name for name in rows.columns if name.lower() != text.lower()]
-    schema = T.StructType([
-        *(rows.schema[name] for name in kept), T.StructField(text, T.StringType(), False)
-    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for batch in by_weight(batches, ids, BLOCK_BYTES // 4):
-            texts = words.decode(*flat(batch.column(ids)))
-            columns = [batch.column(name) for name in kept] + [texts]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, text])
+        for batch in by_weight(batches, "value", BLOCK_BYTES // 4):
+            yield _made(batch, words.decode(*flat(batch.column("value"))))
 
-    return rows.select(*map(quoted, kept)).mapInArrow(run, schema)
+    return _mapped(rows, kept, rows[quoted(ids)].alias("value"), run, text, T.StringType())
+
+
+def _made(batch: pa.RecordBatch, result: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column("kept"), result], names=["kept", "result"])
+
+
+def _mapped(rows: DataFrame, kept: list[str], value: Column, run, name: str, kind) -> DataFrame:
+    """The ``kept`` columns with the ``result`` that ``run`` makes of ``value`` as column ``name``."""
+    packed = rows.select(F.struct(F.lit(0).alias("_"), *map(quoted, kept)).alias("kept"), value)
+    schema = T.StructType([packed.schema["kept"], T.StructField("result", kind, False)])
+    back = [F.col(f"kept.{quoted(column)}").alias(column) for column in kept]
+    return packed.mapInArrow(run, schema).select(*back, F.col("result").alias(name))
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = [name for name in entry.queries() if name.startswith("op") or name == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     assert set(training_data.oracle_sql()) <= set(entry.oracle_sql())
 
 

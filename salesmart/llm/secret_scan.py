@@ -1,18 +1,23 @@
 """Secret scans: patterns, and a battery of randomness tests on other suspicious strings.
 
-Long strings of code-like characters are candidates. Their encoding is inferred (hexadecimal,
-base32, base64), which fixes an alphabet, and three tests ask whether the letters are uniform and
-independent: chi-squared over eight parts of the alphabet, the number of runs above and below its
-middle, and the correlation of neighbours. Fisher's method combines the three: strings that fail
-are not random. For the rest, the p-value under *ordinary text* comes from the likelihood ratio of
-independent uniform letters to a chain of letter pairs that is counted over the corpus's ordinary
-strings: it weighs letters, runs and neighbours at once, and such text exceeds a ratio of x with a
-probability of at most 1 / x. Ordinary are the strings of `SHORTEST` to 19 letters and the
-candidates that are not random. The p-values of all candidates of the corpus go through the
-Benjamini-Hochberg procedure at rate `RATE`, by a histogram of at most `BINS` rows.
+Candidates are all runs of 20 or more of the letters ``A-Za-z0-9+/_-`` that share no letter with a
+pattern's match. Their encoding is inferred (digits, hexadecimal, letters of one or both cases,
+base32, base64), which fixes an alphabet, and three tests ask whether the letters are uniform and independent: chi-squared over eight parts
+of the alphabet, the number of runs above and below its middle, and the correlation of neighbours.
+Fisher's method combines the three: strings that fail are not random and have p = 1.
+
+For the rest the battery alone cannot tell secrets of usual length from words (at 20 to 48 letters
+ordinary strings pass its tests too often for any false-discovery control). So p is a quotient: the
+chance of the string under *ordinary text* by the chance that the battery gives to randomness. The
+first comes from the likelihood ratio of independent uniform letters to a chain of letter pairs
+that is counted over the corpus's ordinary strings; such text exceeds a ratio of x with a probability
+of at most 1 / x. Ordinary are the strings of `SHORTEST` to 19 letters and the candidates that are
+not random. The p-values of all candidates of the corpus go through the Benjamini-Hochberg procedure
+at rate `RATE`, apart for each group of lengths, by a histogram of at most `LENGTHS` * `BINS` rows.
 
 Everything is built-in expressions inside the row; texts are never moved. Positions come from the
-pieces between the matches of a pattern: their lengths add up to the offsets, in code points.
+pieces between the matches of a pattern: their lengths add up to the offsets, in code points, in a time
+that grows with the text. Matches of several patterns are compared in the order of their starts.
 
 Defined results: a NULL text is empty; repeated rows are scanned each for itself and their
 candidates count each; extra columns are ignored.
@@ -20,6 +25,8 @@ candidates count each; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +48,12 @@ KINDS = [kind for kind, *_ in BASE] + [ADDED]
 
 # An encoding's letters in order, and a pattern of its strings.
 ENCODINGS = [
+    ("^[0-9]+$", "0123456789"),
     ("^[0-9a-f]+$", "0123456789abcdef"),
     ("^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("^[a-z]+$", "abcdefghijklmnopqrstuvwxyz"),
+    ("^[A-Z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("^[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
 ]
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -68,6 +79,12 @@ RATE = 0.05
 #: Histogram of -log10(p) in steps of 1 / STEPS; all p-values below 10**-20 share the last bin.
 STEPS, BINS = 20, 401
 
+#: Candidates are judged among those of a like length: from 20 letters, 40, 80, and 160 on.
+LENGTHS = 4
+
+#: Matches whose places are added up at a time.
+CHUNK = 64
+
 SPAN = "array<struct<start:int,kind_no:int,end:int,value:string>>"
 
 
@@ -80,24 +97,73 @@ def spans(text: Column, pattern: str, kind_no: int, group: int = 0, shortest: in
         F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))).alias("before"),
         whole.alias("value"), counted.alias("counted"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-
-    def add(state: Column, match: Column) -> Column:
-        begin = state["at"] + F.length(match["before"])
-        end = begin + F.length(match["value"])
-        span = F.struct(
-            begin.alias("start"), F.lit(kind_no).alias("kind_no"), end.alias("end"),
-            match["value"].alias("value"),
-        )
-        long_enough = F.length(match["counted"]) >= shortest
-        return F.struct(
-            end.alias("at"),
-            F.when(long_enough, F.concat(state["found"], F.array(span)))
-            .otherwise(state["found"]).alias("found"),
-        )
 
-    found = F.aggregate(zipped, start, add)["found"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+    def of_matches(matches: Column) -> Column:
+        lengths = F.transform(matches, lambda m: F.length(m["before"]) + F.length(m["value"]))
+        placed = F.zip_with(matches, running(lengths, lambda a, b: a + b), lambda m, end: F.struct(
+            (end - F.length(m["value"])).alias("start"), F.lit(kind_no).alias("kind_no"),
+            end.alias("end"), m["value"].alias("value"), m["counted"].alias("counted"),
+        ))
+        long_enough = F.filter(placed, lambda m: F.length(m["counted"]) >= shortest)
+        return F.transform(long_enough, lambda m: F.struct(
+            *[m[name].alias(name) for name in ("start", "kind_no", "end", "value")]))
+
+    return F.when(text.rlike(pattern), let(zipped, of_matches)).otherwise(F.array().cast(SPAN))
+
+
+def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array of ints that is not empty.
+
+    The totals are taken in chunks, then over the chunks, so that little is copied at each step.
+    """
+    nothing = F.array().cast("array<int>")
+
+    def last(x: Column) -> Column:
+        return F.get(x, F.size(x) - 1)
+
+    def totals(x: Column) -> Column:
+        return F.aggregate(x, nothing, lambda done, v: F.concat(
+            done, F.array(F.when(F.size(done) > 0, add(last(done), v)).otherwise(v))))
+
+    def chunked(x: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda k: totals(F.slice(x, k * CHUNK + 1, F.lit(CHUNK))))
+
+    def shifted(chunks: Column) -> Column:
+        ends = totals(F.transform(chunks, last))
+        before = F.concat(F.array(F.lit(None).cast("int")), F.slice(ends, 1, F.size(ends) - 1))
+        return F.flatten(F.zip_with(chunks, before, lambda chunk, b: F.transform(
+            chunk, lambda v: F.when(b.isNull(), v).otherwise(add(b, v)))))
+
+    return let(let(values, chunked), shifted)
+
+
+def apart_from(spans: Column, base: Column) -> Column:
+    """The spans that share no letter with a base span, in order of their starts.
+
+    In the order of all starts a span is apart if every base span before it has ended, and the
+    next base span begins after it.
+    """
+    none = 2**31 - 1
+
+    def plain(array: Column, added: bool) -> Column:
+        return F.transform(array, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(added).alias("added"), s["end"].alias("end"),
+            s["kind_no"].alias("kind_no"), s["value"].alias("value")))
+
+    def checked(every: Column) -> Column:
+        ended = running(F.transform(
+            every, lambda s: F.when(s["added"], 0).otherwise(s["end"])), F.greatest)
+        begins = F.reverse(running(F.reverse(F.transform(
+            every, lambda s: F.when(s["added"], none).otherwise(s["start"]))), F.least))
+        kept = F.filter(F.arrays_zip(every.alias("s"), ended.alias("ended"), begins.alias("begins")),
+                        lambda z: z["s"]["added"] & (z["ended"] <= z["s"]["start"])
+                        & (z["begins"] >= z["s"]["end"]))
+        return F.transform(kept, lambda z: F.struct(
+            *[z["s"][name].alias(name) for name in ("start", "kind_no", "end", "value")]))
+
+    every = F.sort_array(F.concat(plain(base, False), plain(spans, True)))
+    return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(let(every, checked))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -174,18 +240,14 @@ def scanned(docs: DataFrame) -> DataFrame:
         spans(text, pattern, number, group, shortest)
         for number, (_, pattern, group, shortest) in enumerate(BASE)
     ])
-    others = F.filter(
-        spans(text, CANDIDATE, KINDS.index(ADDED)),
-        lambda c: c["value"].rlike("[0-9]") & c["value"].rlike("[A-Za-z]") & ~F.exists(
-            "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])
-        ),
-    )
-    tested = F.transform(others, lambda c: F.struct(
+    strings = spans(text, CANDIDATE, KINDS.index(ADDED))
+    tested = F.transform(apart_from(F.col("others"), F.col("base")), lambda c: F.struct(
         c["start"].alias("start"), c["kind_no"].alias("kind_no"), c["end"].alias("end"),
         c["value"].alias("value"), battery(c["value"]).alias("p"),
     ))
     rows = with_columns(docs, {"doc_id": "bigint", "text": "string"})
-    rows = rows.withColumn("base", base).withColumn("candidates", tested)
+    rows = rows.withColumn("base", base).withColumn("others", strings)
+    rows = rows.withColumn("candidates", tested)
     return rows.select("doc_id", F.sort_array("base").alias("base"), "candidates")
 
 
@@ -194,11 +256,17 @@ def _places(value: Column) -> Column:
     return F.transform(F.split(value, ""), lambda c: F.position(c, F.lit(SYMBOLS)) - 1)
 
 
+def _mixed(value: Column) -> Column:
+    """Whether a string has both a digit and a letter."""
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
 def ordinary_pairs(docs: DataFrame, rows: DataFrame) -> np.ndarray:
-    """Logarithms of the chain of letter pairs of the ordinary strings, a row per letter before.
+    """Logarithms of the chains of letter pairs of the ordinary strings, a row per letter before;
+    first the chain of strings without a digit or without a letter, then that of the others.
 
-    Pairs are counted on strings with a digit and a letter, as candidates have; they are smoothed
-    by the letters of these, and those by the letters of all strings. At most 2 * 67 * 66 counts.
+    Pairs are smoothed by the letters of their kind of strings, and those by the letters of all
+    strings. At most 2 * 67 * 66 counts.
     """
     letter = CANDIDATE[:CANDIDATE.index("{")]
     short = f"(?<!{letter}){letter}{{{SHORTEST},19}}(?!{letter})"
@@ -208,8 +276,7 @@ def ordinary_pairs(docs: DataFrame, rows: DataFrame) -> np.ndarray:
     )
     long = F.filter("candidates", lambda c: c["p"]["p_random"] < REJECT)
     strings = strings.unionByName(rows.select(F.explode(long["value"]).alias("value")))
-    mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    placed = strings.select(mixed.alias("mixed"), _places(F.col("value")).alias("at"))
+    placed = strings.select(_mixed(F.col("value")).alias("mixed"), _places(F.col("value")).alias("at"))
     width = len(SYMBOLS)
     pairs = F.transform("at", lambda x, i: x + width * F.when(
         i > 0, F.get(F.col("at"), i - 1)).otherwise(width))
@@ -217,45 +284,59 @@ def ordinary_pairs(docs: DataFrame, rows: DataFrame) -> np.ndarray:
     counts = np.zeros((2, (width + 1) * width))
     for has_both, pair, n in counted.collect():
         counts[int(has_both), pair] = n
-    every, own = counts.sum(axis=0).reshape(-1, width).sum(axis=0), counts[1].reshape(-1, width)
+    own = counts.reshape(2, width + 1, width)
+    every, letters = own.sum(axis=(0, 1)), own.sum(axis=1, keepdims=True)
     usual = (every + 1) / (every.sum() + width)
-    usual = (own.sum(axis=0) + SMOOTHING * usual) / (own.sum() + SMOOTHING)
-    return np.log((own + SMOOTHING * usual) / (own.sum(axis=1, keepdims=True) + SMOOTHING))
+    usual = (letters + SMOOTHING * usual) / (letters.sum(axis=2, keepdims=True) + SMOOTHING)
+    return np.log((own + SMOOTHING * usual) / (own.sum(axis=2, keepdims=True) + SMOOTHING))
 
 
 def judged(rows: DataFrame, chain: np.ndarray) -> DataFrame:
-    """``rows`` with the p-value under ordinary text in the candidates."""
+    """``rows`` with the p-value of each candidate in place of its tests."""
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in chain.ravel())), ",").cast("array<double>")
     width = len(SYMBOLS)
 
-    def ordinary(at: Column) -> Column:
-        start = F.struct(F.lit(0.0).alias("sum"), F.lit(width).alias("before"))
-        return F.aggregate(at, start, lambda s, x: F.struct(
-            (s["sum"] + F.get(table, s["before"] * width + x)).alias("sum"), x.alias("before")
+    def ordinary(value: Column) -> Column:
+        first = F.when(_mixed(value), width * (width + 1)).otherwise(0)
+        start = F.struct(F.lit(0.0).alias("sum"), (first + width * width).alias("row"))
+        return F.aggregate(_places(value), start, lambda s, x: F.struct(
+            (s["sum"] + F.get(table, s["row"] + x)).alias("sum"), (first + x * width).alias("row")
         ))["sum"]
 
     def with_p(c: Column) -> Column:
         # The encoding is inferred, so the ratio is the largest of several.
         several = F.ln(F.lit(len(ENCODINGS) + 1.0))
-        p = F.exp(F.least(let(_places(c["value"]), ordinary) - c["p"]["uniform"] + several, F.lit(0.0)))
+        p = F.exp(F.least(let(c["value"], ordinary) - c["p"]["uniform"] + several, F.lit(0.0)))
         return F.struct(
             c["start"].alias("start"), c["kind_no"].alias("kind_no"), c["end"].alias("end"),
             c["value"].alias("value"),
-            F.struct(c["p"]["p_random"].alias("p_random"), p.alias("p_ordinary")).alias("p"),
+            F.when(c["p"]["p_random"] < REJECT, 1.0)
+            .otherwise(F.least(p / c["p"]["p_random"], F.lit(1.0))).alias("p"),
         )
 
     return rows.withColumn("candidates", F.transform("candidates", with_p))
 
 
-def discovery_threshold(rows: DataFrame, rate: float = RATE) -> float:
-    """Largest p-value under ordinary text that is reported: Benjamini and Hochberg's, rounded
-    down to a histogram bin. Candidates that are not random count as tested."""
-    tested = rows.select(F.explode("candidates.p").alias("p")).select("p.*")
-    p = F.when(F.col("p_random") >= REJECT, F.col("p_ordinary")).otherwise(1.0)
-    step = F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) * STEPS)
+def _length_no(value: Column) -> Column:
+    """Number of the group of lengths that a candidate is in."""
+    return F.least(F.floor(F.log2(F.length(value) / 20)), F.lit(LENGTHS - 1)).cast("int")
+
+
+def discovery_thresholds(rows: DataFrame, rate: float = RATE) -> list[float]:
+    """Largest p-value that is reported in each group of lengths: Benjamini and Hochberg's, rounded
+    down to a histogram bin."""
+    tested = rows.select(F.explode("candidates").alias("c")).select("c.*")
+    step = F.floor(-F.log10(F.greatest("p", F.lit(1e-30))) * STEPS)
     step = F.least(step, F.lit(BINS - 1)).cast("int")
-    histogram = tested.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = dict(map(tuple, histogram))
+    histogram = tested.groupBy(_length_no(F.col("value")).alias("group"), step.alias("step")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    return [
+        _threshold({step: n for group, step, n in histogram if group == number}, rate)
+        for number in range(LENGTHS)
+    ]
+
+
+def _threshold(counts: dict[int, int], rate: float) -> float:
     tests, below, threshold = sum(counts.values()), 0, 0.0
     for number in range(BINS - 1, -1, -1):
         below += counts.get(number, 0)
@@ -269,9 +350,8 @@ def secrets(docs: DataFrame, workspace: Workspace, rate: float = RATE) -> DataFr
     """(doc_id, base, found): spans of the patterns, and all spans, sorted by start, then kind."""
     rows = workspace.store("scanned", scanned(docs))
     rows = workspace.store("judged", judged(rows, ordinary_pairs(docs, rows)))
-    threshold = discovery_threshold(rows, rate)
-    added = F.filter("candidates", lambda c: (c["p"]["p_random"] >= REJECT)
-                     & (c["p"]["p_ordinary"] <= threshold))
+    thresholds = F.array(*map(F.lit, discovery_thresholds(rows, rate)))
+    added = F.filter("candidates", lambda c: c["p"] <= F.get(thresholds, _length_no(c["value"])))
     added = F.transform(added, lambda c: F.struct(*[
         c[name].alias(name) for name in ("start", "kind_no", "end", "value")
     ]))

@@ -10,10 +10,11 @@ words, by relative frequency in their class. A word never seen has a class of it
 half an occurrence after any other. It adds up to one over all texts.
 
 Counts and classes of the words grow with the corpus and stay a table; what is broadcast has a fixed
-bound: those of at most `FREQUENT` words, the first by count and then by hash. For its other words
-a block of documents asks by a join, once for each distinct word, and the answers come back to the
-block; the documents with all their classes are then stored, and both the transitions and the
-scores are read off them.
+bound: those of at most `FREQUENT` words, the first by count and then by hash. Texts are read once
+and stored in blocks of documents, in which each distinct word stands once and tokens are places
+among these; counts, neighbours and classes are taken from the blocks. For its other words a block
+asks by a join, once for each, and the answers come back to it; the documents with all their classes
+are then stored, and both the transitions and the scores are read off them.
 
 Defined results: a NULL text is empty, its only token is the end; a NULL doc_id counts as training;
 repeated rows are scored each; extra columns are ignored. Words are told apart by 64-bit hashes.
@@ -30,7 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import by_weight, flat, lists, or_empty, with_columns, word_hashes
+from salesmart.llm.common import (
+    by_weight,
+    flat,
+    gather,
+    lists,
+    or_empty,
+    with_columns,
+    word_hashes,
+)
 from salesmart.workspace import Workspace
 
 #: Most words whose counts are broadcast: 4 MB. And most words that are clustered.
@@ -132,19 +141,67 @@ class Words:
         return place, self.hash[place] == words
 
 
-def _neighbours(words: Words, hashes: np.ndarray, offsets: np.ndarray):
-    """Numbers of each token and of the one before; a text is followed by its end token."""
-    place, there = words.find(hashes)
-    number = np.where(there, words.number[place] if len(words.number) else 0, words.rest)
-    current = np.insert(number, offsets[1:], words.end)
-    before = np.empty_like(current)
-    before[1:] = current[:-1]  # the end of the text before stands for the beginning
-    if len(before):
-        before[0] = words.end
-    return before, current, place, there
+BLOCK = ("block bigint, doc_id array<bigint>, held_out array<boolean>, offsets array<int>, "
+         "codes array<int>, word array<bigint>, n array<bigint>")
 
 
-def bigrams(training: DataFrame, words) -> DataFrame:
+def blocked(rows: DataFrame) -> DataFrame:
+    """Documents in blocks of about `BLOCK_WORDS` words, a row each. A block holds each of its distinct
+    words once, with its count in training documents; ``codes`` are the places of the tokens there."""
+    names = [part.split()[0] for part in BLOCK.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in by_weight(batches, "words", BLOCK_WORDS):
+            hashes, offsets = flat(batch.column("words"))
+            word, codes = np.unique(hashes, return_inverse=True)
+            held = batch.column("held_out")
+            training = np.repeat(~held.to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
+            n = np.bincount(codes[training], minlength=len(word)).astype(np.int64)
+            columns = [batch.column("doc_id"), held, *map(pa.array, (
+                offsets.astype(np.int32), codes.astype(np.int32), word, n))]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *[
+                pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns
+            ]], names=names)
+            number += 1
+
+    return rows.select("doc_id", "held_out", "words").mapInArrow(run, BLOCK)
+
+
+#: Columns of a block that `Block` reads.
+TRAINING = ["held_out", "offsets", "codes", "word"]
+
+
+class Block:
+    """A row of `blocked`: all documents or only those for training."""
+
+    def __init__(self, rows, row: int, training: bool = False):
+        def values(name: str) -> np.ndarray:
+            return rows.column(name)[row].values.to_numpy(zero_copy_only=False)
+
+        self.word, self.codes = values("word"), values("codes")
+        self.offsets = values("offsets").astype(np.int64)
+        if training:
+            chosen = np.flatnonzero(~values("held_out").astype(bool))
+            self.codes, self.offsets = gather(self.codes, self.offsets, chosen)
+
+    def neighbours(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each token and of the one before; a text is followed by its end token."""
+        place, there = words.find(self.word)
+        number = np.full(len(self.word), words.rest, np.int32)
+        number[there] = words.number[place[there]]
+        current = np.insert(number[self.codes], self.offsets[1:], words.end)
+        before = np.roll(current, 1)  # the end of the text before stands for the beginning
+        return before, current
+
+
+def training_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield Block(batch, row, training=True)
+
+
+def bigrams(blocks: DataFrame, words) -> DataFrame:
     """(a, b, n): how often vocabulary number b follows a in the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +213,8 @@ def bigrams(training: DataFrame, words) -> DataFrame:
             every, place = np.unique(np.concatenate([codes, code]), return_inverse=True)
             return every, np.bincount(place, np.concatenate([counts, n])).astype(np.int64)
 
-        for batch in by_weight(batches, "words", BLOCK_WORDS):
-            before, current, _, _ = _neighbours(known, *flat(batch.column("words")))
+        for block in training_blocks(batches):
+            before, current = block.neighbours(known)
             codes, counts = add(*np.unique(before * np.int64(width) + current, return_counts=True))
         yield pa.RecordBatch.from_arrays(
             [pa.array((codes // width).astype(np.int32)),
@@ -165,7 +222,7 @@ def bigrams(training: DataFrame, words) -> DataFrame:
             names=["a", "b", "n"],
         )
 
-    counted = training.select("words").mapInArrow(run, "a int, b int, n bigint")
+    counted = blocks.select(*TRAINING).mapInArrow(run, "a int, b int, n bigint")
     return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -286,30 +343,28 @@ def gains(
     return result
 
 
-def rest_classes(training: DataFrame, words, assigned, table: np.ndarray, classes: int) -> DataFrame:
+def rest_classes(blocks: DataFrame, words, assigned, table: np.ndarray, classes: int) -> DataFrame:
     """(word, c): the class of every training word outside the vocabulary."""
     width = classes + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = words.value
-        for batch in by_weight(batches, "words", BLOCK_WORDS):
-            hashes, offsets = flat(batch.column("words"))
-            before, current, _, _ = _neighbours(known, hashes, offsets)
-            tokens = np.insert(hashes, offsets[1:], 0)
+        for block in training_blocks(batches):
+            before, current = block.neighbours(known)
             rest = np.flatnonzero(current == known.rest)
-            every, place = np.unique(tokens[rest], return_inverse=True)
+            place = np.insert(block.codes, block.offsets[1:], 0)[rest].astype(np.int64)
             code = np.concatenate([
                 place * 2 * width + assigned[current[rest + 1]],
                 place * 2 * width + width + assigned[before[rest]],
             ])
             code, n = np.unique(code, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every[code // (2 * width)], pa.int64()),
+                [pa.array(block.word[code // (2 * width)], pa.int64()),
                  pa.array((code % (2 * width)).astype(np.int32)), pa.array(n)],
                 names=["word", "at", "n"],
             )
 
-    counted = training.select("words").mapInArrow(count, "word bigint, at int, n bigint")
+    counted = blocks.select(*TRAINING).mapInArrow(count, "word bigint, at int, n bigint")
     per_word = counted.groupBy("word", "at").agg(F.sum("n").alias("n")).groupBy("word").agg(
         F.collect_list("at").alias("at"), F.collect_list("n").alias("n")
     )
@@ -336,82 +391,47 @@ def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[1:] - sums[:-1]
 
 
-def coded(rows: DataFrame, words, base_total: float) -> DataFrame:
-    """A row per document with the classes of its words, and a row per block with its rare words.
-
-    ``codes`` holds the class of a word whose class is broadcast; any other word has its number
-    among the distinct ``rare`` words of the block, counted on from the number of classes.
-    """
-    schema = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
-              "emission double, block bigint, codes array<int>, rare array<bigint>")
-    names = [part.split()[0] for part in schema.split(", ")]
+def asked(blocks: DataFrame, words) -> DataFrame:
+    """(of, number, word): the words of each block whose class is not broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, number = words.value, TaskContext.get().partitionId() << 32
-        seen, base = np.log10(known.count), np.log10((known.count + 0.5) / base_total)
-        for batch in by_weight(batches, "words", BLOCK_WORDS):
-            hashes, offsets = flat(batch.column("words"))
-            place, there = known.find(hashes)
-            rare, at = np.unique(hashes[~there], return_inverse=True)
-            codes = np.empty(len(hashes), np.int32)
-            codes[there] = known.cls[place[there]]
-            codes[~there] = known.end_class + 1 + at
-
-            def summed(values: np.ndarray) -> pa.Array:
-                every = np.zeros(len(hashes), values.dtype)
-                every[there] = values[place[there]]
-                return pa.array(_per_text(every, offsets))
-
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("held_out"),
-                pa.array(np.diff(offsets) + 1), summed(np.ones(len(seen), np.int64)),
-                summed(base), summed(seen), pa.array(np.full(n, number)), lists(codes, offsets),
-                pa.nulls(n, pa.list_(pa.int64())),
-            ], names=names)
-            yield pa.RecordBatch.from_arrays([
-                *(pa.nulls(1, kind) for kind in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
-                                                 pa.float64(), pa.float64())),
-                pa.array(np.full(1, number)), pa.nulls(1, pa.list_(pa.int32())),
-                lists(rare, np.array([0, len(rare)])),
-            ], names=names)
-            number += 1
+        for batch in batches:
+            for row, block in enumerate(batch.column("block").to_pylist()):
+                word = batch.column("word")[row].values.to_numpy()
+                rare = np.flatnonzero(~words.value.find(word)[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rare), block)), pa.array(rare), pa.array(word[rare])],
+                    names=["of", "number", "word"])
 
-    return rows.select("doc_id", "held_out", "words").mapInArrow(run, schema)
+    return blocks.select("block", "word").mapInArrow(run, "of bigint, number bigint, word bigint")
 
 
-def classed(blocks: DataFrame, lexicon: DataFrame, classes: int, base_total: float) -> DataFrame:
+def classed(blocks: DataFrame, words, lexicon: DataFrame, classes: int, base_total: float) -> DataFrame:
     """Documents with the classes of all their words. A block asks for each of its rare words once,
     and the answers come back to the block; a word never seen has the class ``classes``."""
-    asked = blocks.where("rare IS NOT NULL").select(
-        F.col("block").alias("of"), F.posexplode("rare").alias("number", "word"))
-    answers = asked.join(lexicon, "word", "left").select(
+    answers = asked(blocks, words).join(lexicon, "word", "left").select(
         "of", "number", F.coalesce("c", F.lit(classes)).alias("c"), F.coalesce("n", F.lit(0)).alias("n"))
 
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        known, block = words.value, Block(rows, 0)
+        place, there = known.find(block.word)
+        c, n = np.full(len(there), classes, np.int16), np.zeros(len(there), np.int64)
+        c[there], n[there] = known.cls[place[there]], known.count[place[there]]
         at = found.column("number").to_numpy()
-        c, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         c[at], n[at] = found.column("c").to_numpy(), found.column("n").to_numpy()
-        codes, offsets = flat(texts.column("codes").combine_chunks())
-        rare = codes >= classes + 2
-        local = codes[rare] - (classes + 2)
-        result = codes.astype(np.int16)
-        result[rare] = c[local]
-
-        def added(name: str, values: np.ndarray) -> np.ndarray:
-            every = np.zeros(len(codes), values.dtype)
-            every[rare] = values[local]
-            return pa.array(texts.column(name).to_numpy() + _per_text(every, offsets))
-
-        kept = [texts.column(name) for name in ("doc_id", "held_out", "n_tokens")]
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return _per_text(values[block.codes], block.offsets)
+
         return pa.table([
-            *kept, added("n_known", (n > 0).astype(np.int64)),
-            added("base_score", np.log10((n + 0.5) / base_total)),
-            added("emission", np.log10(np.maximum(n, 1))), lists(result, offsets),
+            rows.column("doc_id")[0].values, rows.column("held_out")[0].values,
+            pa.array(np.diff(block.offsets) + 1), summed((n > 0).astype(np.int64)),
+            summed(np.log10((n + 0.5) / base_total)), summed(np.log10(np.maximum(n, 1))),
+            lists(c[block.codes], block.offsets),
         ], names=[part.split()[0] for part in CLASSED.split(", ")])
 
-    documents = blocks.where("rare IS NULL").drop("rare")
-    return documents.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(run, CLASSED)
+    every = blocks.select("block", "doc_id", *TRAINING)
+    return every.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(run, CLASSED)
 
 
 def _steps(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -487,18 +507,16 @@ def scores(
     word's own frequency) and score (the class model), both as log10 of the probability."""
     spark = docs.sparkSession.sparkContext
     rows = prepared(docs)
-    training = rows.where(~F.col("held_out"))
-    counts = training.select(F.explode("words").alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    blocks = workspace.store("blocks", blocked(rows))
+    found = blocks.select(F.explode(F.arrays_zip("word", "n")).alias("w")).select("w.word", "w.n")
+    counts = found.where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("bin", F.floor(F.log2("n") * BINS).cast("int"))
     counts = workspace.store("counts", counts)
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id")).where(
-        F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0)) != 1
-    ).count()
+    texts = F.sum(F.size(F.filter("held_out", lambda held: ~held)))
+    texts = blocks.agg(F.coalesce(texts, F.lit(0))).first()[0]
     known = Words(counts, frequent, vocabulary)
     shared = spark.broadcast(known)
-    pairs = workspace.store("bigrams", bigrams(training, shared))
+    pairs = workspace.store("bigrams", bigrams(blocks, shared))
     assigned = cluster(pairs, known.size, classes, rounds)
 
     numbers = docs.sparkSession.createDataFrame(
@@ -510,8 +528,7 @@ def scores(
     ).join(F.broadcast(numbers.toDF("b", "cb")), "b").groupBy("ca", "cb").agg(F.sum("n"))
     for ca, cb, n in by_class.collect():
         table[ca, cb] = n
-    rest = workspace.store("rest", rest_classes(training, shared, assigned, table, classes))
-    known.end_class = classes + 1
+    rest = workspace.store("rest", rest_classes(blocks, shared, assigned, table, classes))
     known.cls = np.full(len(known.hash), classes, np.int64)
     vocabulary_words = known.number < known.rest
     known.cls[vocabulary_words] = assigned[known.number[vocabulary_words]]
@@ -526,8 +543,8 @@ def scores(
     total, distinct = tokens + texts, words + (texts > 0)  # with the end tokens
     base_total = total + 0.5 * (distinct + 1)
     base_end, end_known = float(np.log10((texts + 0.5) / base_total)), int(texts > 0)
-    blocks = workspace.store("blocks", coded(rows, spark.broadcast(known), base_total))
-    documents = workspace.store("classed", classed(blocks, lexicon, classes, base_total))
+    documents = workspace.store(
+        "classed", classed(blocks, spark.broadcast(known), lexicon, classes, base_total))
     model = Model(transitions(documents.where("NOT held_out"), classes), base_total)
     return scored(documents, spark.broadcast(model)).select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + end_known).alias("n_known"),

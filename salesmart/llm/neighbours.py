@@ -7,8 +7,14 @@ closer to the node than to the neighbours before it. The graph is stored as one
 its neighbours of all levels in one flat array of fixed widths. Queries, in blocks, search every
 shard by beam search; the shards' results are merged by score.
 
-For the graph the vectors get one more component that makes all norms equal, so that the largest
-inner product is also the nearest. Scores are computed anew in double precision.
+For the graph the vectors are scaled to norms of at most 1 in single precision and get one more
+component that makes all norms equal, so that the largest inner product is also the nearest.
+Scores are computed anew in double precision from the vectors as they are stored.
+
+A shard holds about `SHARD_BYTES` of graph, some 10^5 vectors of 64 components, so that the
+number of shards, each of which every query searches, grows slowly. Tables that would fill less than
+`SHARDS` of these are cut into up to `SHARDS` shards of `SHARD_ROWS` rows or more, to be built in
+parallel.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite components take no
 part, nor do rows without vec_id; only vectors of a query's own length are candidates; repeated
@@ -28,8 +34,11 @@ from salesmart.workspace import Workspace
 
 NEAREST = 20
 
-#: Vectors of a shard, on average; bounds the memory of a task.
-SHARD_ROWS = 8192
+#: Bytes of a shard's graph in single precision, on average; bounds the memory of a task.
+SHARD_BYTES = 40 * 2**20
+
+#: Shards that a smaller table is cut into, and the rows from which on a shard is cut.
+SHARDS, SHARD_ROWS = 64, 8192
 
 #: Queries that search a shard in one task.
 QUERY_ROWS = 8192
@@ -47,16 +56,21 @@ STEP = 4
 #: One more than the nearest, as the query's own id is left out.
 KEPT = NEAREST + 1
 
-VECTOR = {"vec_id": "bigint", "embedding": "array<float>"}
-GRAPH = ("shard int, node int, level int, ids array<bigint>, vector array<float>, "
+GRAPH = ("shard int, node int, level int, ids array<bigint>, vector array<{kind}>, "
          "neighbours array<int>")
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the rows that take part, each once."""
+    """(vec_id, embedding) of the rows that take part, each once. Components stay float where they
+    are, else they become double."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
-    rows = vectors.select(*[vectors[name].cast(kind).alias(name) for name, kind in VECTOR.items()])
+    rows = vectors.select(
+        vectors["vec_id"].cast("bigint").alias("vec_id"),
+        vectors["embedding"].cast(kind).alias("embedding"),
+    )
     return rows.where(
         F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
         & F.exists("embedding", lambda x: x != 0)
@@ -67,9 +81,11 @@ class Graph:
     """The graph of a shard while it is built and searched; all nodes in a few flat arrays."""
 
     def __init__(self, vectors: np.ndarray, level: np.ndarray):
-        norms = (vectors.astype(np.float64) ** 2).sum(axis=1)
-        more = np.sqrt(np.maximum(norms.max(initial=0) - norms, 0)).astype(np.float32)
-        self.x = np.concatenate([vectors, more[:, None]], axis=1)
+        # One factor for all nodes keeps the order of their scores.
+        scaled = vectors.astype(np.float64) / np.abs(vectors).max(initial=0)
+        scaled /= np.sqrt((scaled**2).sum(axis=1).max(initial=0))
+        more = np.sqrt(np.maximum(1 - (scaled**2).sum(axis=1), 0))
+        self.x = np.concatenate([scaled, more[:, None]], axis=1).astype(np.float32)
         self.level = level
         self.entry = int(np.argmax(level)) if len(level) else 0
         self.links = [
@@ -198,7 +214,7 @@ class Graph:
         """Nodes found for plain query vectors, best first; -1 where there are no more."""
         out = []
         for begin in range(0, len(queries), BATCH):
-            part = queries[begin:begin + BATCH]
+            part = _unit(queries[begin:begin + BATCH])
             part = np.concatenate([part, np.zeros((len(part), 1), np.float32)], axis=1)
             start = np.full((len(part), 1), self.entry, np.int64)
             for depth in range(len(self.links) - 1, -1, -1):
@@ -207,15 +223,24 @@ class Graph:
         return np.concatenate(out)
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by its norm, which changes no order of a query's scores."""
+    vectors = vectors.astype(np.float64) / np.abs(vectors).max(axis=1, keepdims=True)
+    return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+
+
 def _matrix(column) -> np.ndarray:
+    """Vectors as they are stored, one a row."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values, offsets = flat(column)
-    return np.asarray(values, np.float32).reshape(len(offsets) - 1, -1)
+    return np.asarray(values).reshape(len(offsets) - 1, -1)
 
 
-def graph(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def graph(vectors: DataFrame, shard_rows: int | None = None) -> DataFrame:
     """One row per distinct vector: its shard, its ids, and its neighbours as places in the shard:
     `WIDTH` of level 0, then `UPPER` for each level above, -1 where there are fewer."""
+    kind = vectors.schema["embedding"].dataType.elementType
+    component = pa.float32() if kind.simpleString() == "float" else pa.float64()
     per_vector = Window.partitionBy("embedding").orderBy("vec_id")
     distinct = vectors.withColumn("_rank", F.row_number().over(per_vector)).where(
         F.col("_rank") <= KEPT
@@ -242,30 +267,41 @@ def graph(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
             "shard": table.column("shard"), "node": pa.array(np.arange(len(level)), pa.int32()),
             "level": pa.array(level, pa.int32()),
             "ids": table.column("ids").cast(pa.list_(pa.int64())),
-            "vector": table.column("embedding").cast(pa.list_(pa.float32())),
+            "vector": table.column("embedding").cast(pa.list_(component)),
             "neighbours": lists(links, offsets),
         })
 
     rows = distinct.select(shard.cast("int").alias("shard"), hashed.alias("hash"), "ids",
                            "embedding")
-    return rows.groupBy("shard").applyInArrow(run, GRAPH)
+    return rows.groupBy("shard").applyInArrow(run, GRAPH.format(kind=kind.simpleString()))
+
+
+def shards_of(rows: int, components: int, shard_rows: int | None = None) -> int:
+    """Shards for so many rows of so many components in all, or by ``shard_rows``."""
+    if shard_rows:
+        return max(1, -(-rows // shard_rows))
+    small = min(-(-rows // SHARD_ROWS), SHARDS)
+    return max(1, small, -(-4 * (components + (1 + WIDTH) * rows) // SHARD_BYTES))
 
 
-def _shards(vectors: DataFrame, shard_rows: int) -> int:
-    return max(1, -(-vectors.count() // shard_rows))
+def _shards(vectors: DataFrame, shard_rows: int | None) -> int:
+    rows, components = vectors.agg(F.count("*"), F.sum(F.size("embedding").cast("bigint"))).first()
+    return shards_of(rows, components or 0, shard_rows)
 
 
-def _load(table: pa.Table) -> tuple[Graph, np.ndarray, np.ndarray]:
+def _load(table: pa.Table) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+    """Graph of a shard, its vectors as stored, and the ids of all nodes with their offsets."""
     table = table.take(pa.array(np.argsort(table.column("node").to_numpy())))
     level = table.column("level").to_numpy().astype(np.int64)
-    loaded = Graph(_matrix(table.column("vector")), level)
+    vectors = _matrix(table.column("vector"))
+    loaded = Graph(vectors, level)
     links, offsets = flat(table.column("neighbours").combine_chunks())
     for depth, rows in enumerate(loaded.links):
         own = np.flatnonzero(level >= depth)
         begin = offsets[own] + (0 if depth == 0 else WIDTH + UPPER * (depth - 1))
         rows[own] = links[begin[:, None] + np.arange(rows.shape[1])]
     ids, offsets = flat(table.column("ids").combine_chunks())
-    return loaded, ids, offsets
+    return loaded, vectors, ids, offsets
 
 
 def search(
@@ -287,14 +323,14 @@ def search(
             return pa.table({"query_id": pa.array([], pa.int64()),
                              "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
-        loaded, ids, offsets = _load(nodes)
+        loaded, vectors, ids, offsets = _load(nodes)
         matrix, own = _matrix(asked.column("embedding")), asked.column("vec_id").to_numpy()
         found = loaded.nearest(matrix)
         row, rank = np.nonzero(found >= 0)
         node = found[row, rank]
-        exact = loaded.x[:, :-1].astype(np.float64)
         score = np.concatenate([
-            (exact[node[a:a + 100_000]] * matrix[row[a:a + 100_000]].astype(np.float64)).sum(axis=1)
+            (vectors[node[a:a + 100_000]].astype(np.float64)
+             * matrix[row[a:a + 100_000]].astype(np.float64)).sum(axis=1)
             for a in range(0, len(node), 100_000)
         ])
         copies = (offsets[1:] - offsets[:-1])[node]

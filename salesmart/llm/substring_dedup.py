@@ -11,7 +11,13 @@ A window's *anchor* is a symbol of the highest level that the window's own words
 with the smallest fingerprint. Equal windows therefore have equal anchors, and a window whose
 anchor occurs once in the corpus has no equal. Anchors are far fewer than words, and Spark counts
 them. Windows with an anchor that occurs again are named whole, sent to one place by name, and all
-but the first are repeats.
+but the first are claimed to repeat the first.
+
+Claims are verified on the words. Those of one document that follow each other at one distance
+from their first place are one run, cut at every `CELL` words of the first place, so that a hot text is asked
+for few different stretches, whoever repeats it. Each stretch asked for is digested once in its own document
+(SHA-256 of its words). A document loses words only where stretches with the same digest as its own
+words follow each other for a window or more.
 
 The anchors that occur again are kept as a bit filter of fixed size (`FILTER_BITS`), which is what
 is broadcast. A hash clash or a full filter only sends more windows on, it changes no result. Of
@@ -19,11 +25,13 @@ equal windows within a block only the first is sent, so a hot passage is one row
 
 Defined results: documents are ordered by doc_id, NULL last, then by a hash of their text; rows
 equal in both are treated alike (as one document); a NULL text is empty; texts shorter than a
-window lose nothing; extra columns are ignored. Windows count as equal if their 64-bit names are.
+window lose nothing; extra columns are ignored. Where different windows share a 64-bit name, the
+claims of those that differ from the first fail, and they remove nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +63,12 @@ FILTER_BITS = 27
 #: Words that a task works on at a time, but for a longer single text.
 BLOCK_WORDS = 400_000
 
+#: Words of the first place between two cuts of a claim.
+CELL = 64
+
+#: Bits of a window's name; fewer make different windows meet, which tests use.
+NAME_BITS = 64
+
 DOCUMENT = {"doc_id": "bigint", "text": "string"}
 DOC = ["doc_id", "_text_key"]
 
@@ -221,9 +235,11 @@ def _passes(whole: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
     return (whole[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, _text_key, spans): the words of each document that lie in a window which occurs
-    earlier, as sorted list of (start, end)."""
+def claims(
+    docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS, name_bits: int = NAME_BITS
+) -> DataFrame:
+    """(doc_id, _text_key, start, end, to_id, to_key, to_start): stretches of words of a document
+    that by their windows' names are the same as those from ``to_start`` on, which come earlier."""
     bits = FILTER_BITS
     again = docs.sparkSession.sparkContext.broadcast(
         _filter(repeated_anchors(docs, size, rounds), bits)
@@ -231,27 +247,149 @@ def repeats(docs: DataFrame, size: int = WINDOW, rounds: int = ROUNDS) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_weight(batches, "words", BLOCK_WORDS):
-            yield _sent(batch, size, rounds, again.value, bits)
+            yield _sent(batch, size, rounds, again.value, bits, name_bits)
 
-    schema = "name bigint, doc_id bigint, _text_key bigint, start int, end int, sure boolean"
-    sent = _hashed(docs).mapInArrow(run, schema)
+    sent = _hashed(docs).mapInArrow(
+        run, "name bigint, doc_id bigint, _text_key bigint, start int, end int, sure boolean, "
+        "to_id bigint, to_key bigint, to_start int",
+    )
     order = Window.partitionBy("name").orderBy(
         F.col("doc_id").asc_nulls_last(), "_text_key", "start"
     )
     # Identical rows are one document: their equal windows are peers and none is after the other.
-    later = sent.withColumn("_rank", F.rank().over(order)).where("sure OR _rank > 1")
-    spans = F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
-    return later.groupBy(*DOC).agg(spans)
+    first = F.first(F.struct("doc_id", "_text_key", "start")).over(order)
+    later = sent.withColumns({"_rank": F.rank().over(order), "_first": first}).where(
+        "sure OR _rank > 1"
+    )
+
+    def source(own: str, given: str):
+        return F.when(F.col("sure"), F.col(given)).otherwise(F.col(f"_first.{own}")).alias(given)
+
+    claim = F.struct("start", "end", source("doc_id", "to_id"), source("_text_key", "to_key"),
+                     source("start", "to_start"))
+    listed = later.groupBy(*DOC).agg(F.collect_set(claim).alias("claims"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_weight(batches, "claims", BLOCK_WORDS):
+            yield _cut(batch)
+
+    return listed.mapInArrow(
+        cut, "doc_id bigint, _text_key bigint, start int, end int, to_id bigint, to_key bigint, "
+        "to_start int",
+    )
+
+
+def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Claims of documents joined to runs and cut at the cells of their first place."""
+    column = batch.column("claims")
+    values = column.flatten()
+    row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+    start, end, to_start = (
+        values.field(name).to_numpy().astype(np.int64) for name in ("start", "end", "to_start"))
+    to_id, to_key = values.field("to_id"), values.field("to_key").to_numpy()
+    missing = to_id.is_null().to_numpy(zero_copy_only=False)
+    shift = to_start - start
+    order = np.lexsort((start, shift, to_key, to_id.fill_null(0).to_numpy(), missing, row))
+    start, end, shift = start[order], end[order], shift[order]
+    same = np.stack([row, missing, to_id.fill_null(0).to_numpy(), to_key])[:, order]
+    head = np.ones(len(order), bool)
+    head[1:] = (same[:, 1:] != same[:, :-1]).any(axis=0) | (shift[1:] != shift[:-1])
+    head[1:] |= start[1:] > end[:-1]
+    head = np.flatnonzero(head)
+    end = np.maximum.reduceat(end, head) if len(head) else end
+    start, shift, order = start[head], shift[head], order[head]
+    low, high = start + shift, end + shift
+    cells = (high - 1) // CELL - low // CELL + 1
+    run = np.repeat(np.arange(len(head)), cells)
+    cell = low[run] // CELL + np.arange(len(run)) - np.repeat(np.cumsum(cells) - cells, cells)
+    begin = np.maximum(low[run], cell * CELL)
+    stop = np.minimum(high[run], (cell + 1) * CELL)
+    own, order = pa.array(row[order[run]]), pa.array(order[run])
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id").take(own), batch.column("_text_key").take(own),
+            pa.array((begin - shift[run]).astype(np.int32)),
+            pa.array((stop - shift[run]).astype(np.int32)),
+            to_id.take(order), values.field("to_key").take(order),
+            pa.array(begin.astype(np.int32)),
+        ],
+        names=["doc_id", "_text_key", "start", "end", "to_id", "to_key", "to_start"],
+    )
+
 
+def _digest(words: list[bytes], start: int, end: int) -> bytes:
+    return hashlib.sha256(b" ".join(words[start:end])).digest()
 
-def _sent(batch: pa.RecordBatch, size: int, rounds: int, again: np.ndarray, bits: int):
-    """Windows of a block that may occur again: the first of equal ones by name, the others,
-    which are repeats for sure, as spans."""
+
+def _words(text: pa.StringScalar) -> list[bytes]:
+    return text.as_buffer().to_pybytes().split()  # at ASCII white space only
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    rows = with_columns(docs, DOCUMENT).withColumn("text", or_empty(F.col("text")))
+    return rows.withColumn("_text_key", F.xxhash64(F.lit("text"), "text"))
+
+
+def digests(docs: DataFrame, claimed: DataFrame) -> DataFrame:
+    """(to_id, to_key, to_start, size, digest) of the stretches that ``claimed`` refers to.
+
+    A document's list holds a stretch once, whoever claims it, and all lie in cells, so its length
+    is bounded by that of the document.
+    """
+    stretch = F.struct("to_start", (F.col("end") - F.col("start")).alias("size"))
+    asked = claimed.groupBy("to_id", "to_key").agg(F.collect_set(stretch).alias("asked"))
+    rows = maybe_among(_texts(docs), claimed.select(F.col("to_key").alias("_text_key")), "_text_key")
+    same = rows["doc_id"].eqNullSafe(asked["to_id"]) & (rows["_text_key"] == asked["to_key"])
+    joined = rows.join(asked, same).select("to_id", "to_key", "text", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = batch.column("asked")
+            stretches = asked.flatten()
+            starts, sizes = (stretches.field(i).to_pylist() for i in (0, 1))
+            ends = np.cumsum(asked.value_lengths().to_numpy()).tolist()
+            found, at = [], 0
+            for text, stop in zip(batch.column("text"), ends):
+                words = _words(text)
+                found += [_digest(words, a, a + n) for a, n in zip(starts[at:stop], sizes[at:stop])]
+                at = stop
+            row = pa.array(np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("to_id").take(row), batch.column("to_key").take(row),
+                stretches.field(0), stretches.field(1), pa.array(found, pa.binary()),
+            ], names=["to_id", "to_key", "to_start", "size", "digest"])
+
+    schema = "to_id bigint, to_key bigint, to_start int, size int, digest binary"
+    # Rows of one document give each stretch once.
+    found = joined.mapInArrow(run, schema)
+    return found.groupBy("to_id", "to_key", "to_start", "size").agg(F.min("digest").alias("digest"))
+
+
+def with_digests(docs: DataFrame, claimed: DataFrame) -> DataFrame:
+    """(doc_id, _text_key, spans): the claims of each document, as list of (run, start, end, digest
+    that the words must have). Claims of one run have the same distance from their first place."""
+    asked = digests(docs, claimed).withColumnsRenamed({"to_id": "_id", "to_key": "_key",
+                                                      "to_start": "_start"})
+    same = (
+        claimed["to_id"].eqNullSafe(asked["_id"]) & (claimed["to_key"] == asked["_key"])
+        & (claimed["to_start"] == asked["_start"])
+        & (claimed["end"] - claimed["start"] == asked["size"])
+    )
+    run = F.xxhash64("to_id", "to_key", F.col("to_start") - F.col("start")).alias("run")
+    spans = F.sort_array(F.collect_list(F.struct(run, "start", "end", "digest"))).alias("spans")
+    return claimed.join(asked, same).groupBy(*DOC).agg(spans)
+
+
+def _sent(
+    batch: pa.RecordBatch, size: int, rounds: int, again: np.ndarray, bits: int, name_bits: int
+) -> pa.RecordBatch:
+    """Windows of a block that may occur again: the first of equal ones by name, the others, whose
+    first place may be taken to be that one, as spans."""
     words, offsets = flat(batch.column("words"))
     block = Block(words, offsets)
     starts, keys, _ = anchors(block, size, rounds)
     starts = starts[_passes(again, bits, keys)]
-    name = block.fingerprint(starts, starts + size)
+    name = block.fingerprint(starts, starts + size) >> np.uint64(64 - name_bits)
     ids, text_keys = batch.column("doc_id"), batch.column("_text_key").to_numpy()
     missing = ids.is_null().to_numpy(zero_copy_only=False)
     numbers = ids.fill_null(0).to_numpy()
@@ -270,24 +408,30 @@ def _sent(batch: pa.RecordBatch, size: int, rounds: int, again: np.ndarray, bits
     head[1:] = name[1:] != name[:-1]
     group = np.cumsum(head) - 1
     lead = np.flatnonzero(head)
-    sure = (rank[doc] != rank[doc[lead]][group]) | (place != place[lead][group])
+    to_doc, to_place = doc[lead][group], place[lead][group]
+    sure = (rank[doc] != rank[to_doc]) | (place != to_place)
     # Windows that are peers of the first, in identical rows, are the same window.
     extra = ~head & ~sure
     name, doc, place, sure = name[~extra], doc[~extra], place[~extra], sure[~extra]
-    end = place + size
-    # Repeats in one piece of text become one span each.
-    at = np.lexsort((place[sure], doc[sure]))
-    d, p = doc[sure][at], place[sure][at]
+    to_doc, to_place = to_doc[~extra][sure], to_place[~extra][sure]
+    # Repeats in one piece of text at one distance from their first place become one span each.
+    d, p = doc[sure], place[sure]
+    at = np.lexsort((p, to_place - p, to_doc, d))
+    d, p, to_doc, to_place = d[at], p[at], to_doc[at], to_place[at]
     new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + size)
+    new[1:] = (d[1:] != d[:-1]) | (to_doc[1:] != to_doc[:-1]) | (p[1:] > p[:-1] + size)
+    new[1:] |= (to_place - p)[1:] != (to_place - p)[:-1]
     begin = np.flatnonzero(new)
     stop = np.append(begin[1:], len(d)) - 1 if len(d) else begin
     all_doc = np.concatenate([doc[~sure], d[begin]])
     all_start = np.concatenate([place[~sure], p[begin]])
-    all_end = np.concatenate([end[~sure], p[stop] + size])
-    certain = np.concatenate([np.zeros((~sure).sum(), bool), np.ones(len(begin), bool)])
+    all_end = np.concatenate([place[~sure] + size, p[stop] + size])
+    open_ = int((~sure).sum())
+    certain = np.concatenate([np.zeros(open_, bool), np.ones(len(begin), bool)])
     scatter = mix64(text_keys[d[begin]].view(np.uint64) + p[begin].astype(np.uint64) * ODD)
     names = np.concatenate([name[~sure], scatter])
+    source = pa.array(np.concatenate([np.zeros(open_, np.int64), to_doc[begin]]), mask=~certain)
+    to_start = np.concatenate([np.zeros(open_, np.int64), to_place[begin]]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(names.view(np.int64)),
@@ -296,22 +440,40 @@ def _sent(batch: pa.RecordBatch, size: int, rounds: int, again: np.ndarray, bits
             pa.array(all_start.astype(np.int32)),
             pa.array(all_end.astype(np.int32)),
             pa.array(certain),
+            ids.take(source),
+            batch.column("_text_key").take(source),
+            pa.array(to_start, mask=~certain),
         ],
-        names=["name", "doc_id", "_text_key", "start", "end", "sure"],
+        names=["name", "doc_id", "_text_key", "start", "end", "sure", "to_id", "to_key", "to_start"],
     )
 
 
+def _verified(words: list[bytes], spans: pa.ListScalar) -> Iterator[tuple[int, int]]:
+    """The longest stretches whose claims hold, from spans sorted by run and start."""
+    last, low, high = None, 0, 0
+    for run, start, end, digest in zip(*(spans.values.field(i).to_pylist() for i in range(4))):
+        if _digest(words, start, end) != digest:
+            continue
+        if run == last and start <= high:
+            high = max(high, end)
+            continue
+        yield low, high
+        last, low, high = run, start, end
+    yield low, high
+
+
 def without_repeats(
-    docs: DataFrame, workspace: Workspace | None = None, size: int = WINDOW, rounds: int = ROUNDS
+    docs: DataFrame, workspace: Workspace | None = None, size: int = WINDOW, rounds: int = ROUNDS,
+    name_bits: int = NAME_BITS,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, text): the words that are left, joined by one space.
 
     Only texts that may lose words are shuffled to meet their spans.
     """
     workspace = workspace or Workspace(docs.sparkSession)
-    rows = with_columns(docs, DOCUMENT).withColumn("text", or_empty(F.col("text")))
-    rows = rows.withColumn("_text_key", F.xxhash64(F.lit("text"), "text"))
-    found = workspace.store("spans", repeats(docs, size, rounds))
+    rows = _texts(docs)
+    claimed = workspace.store("claims", claims(docs, size, rounds, name_bits))
+    found = workspace.store("spans", with_digests(docs, claimed))
     whole = maybe_among(rows, found, "_text_key", "left_anti").select(
         "doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans")
     )
@@ -324,13 +486,14 @@ def without_repeats(
         for batch in batches:
             kept, counts, removed = [], [], []
             for text, spans in zip(batch.column("text"), batch.column("spans")):
-                words = text.as_buffer().to_pybytes().split()  # at ASCII white space only
+                words = _words(text)
                 counts.append(len(words))
                 left = words
                 if spans.is_valid:
                     keep = np.ones(len(words), bool)
-                    for span in spans.as_py():
-                        keep[span["start"]:span["end"]] = False
+                    for start, end in _verified(words, spans):
+                        if end - start >= size:
+                            keep[start:end] = False
                     left = [word for word, stays in zip(words, keep.tolist()) if stays]
                 removed.append(len(words) - len(left))
                 kept.append(b" ".join(left))

@@ -256,42 +256,42 @@ def claims(
     order = Window.partitionBy("name").orderBy(
         F.col("doc_id").asc_nulls_last(), "_text_key", "start"
     )
-    # Identical rows are one document: their equal windows are peers and none is after the other.
-    first = F.first(F.struct("doc_id", "_text_key", "start")).over(order)
-    later = sent.withColumns({"_rank": F.rank().over(order), "_first": first}).where(
-        "sure OR _rank > 1"
-    )
+    # Identical rows are one document: their equal windows are peers, none is after the other, and
+    # one of them is enough.
+    row = F.struct("doc_id", "_text_key", "start", "end", "to_id", "to_key", "to_start")
+    later = sent.withColumns({
+        "_rank": F.rank().over(order),
+        "_first": F.first(F.struct("doc_id", "_text_key", "start")).over(order),
+        "_again": row.eqNullSafe(F.lag(row).over(order)),
+    }).where("(sure OR _rank > 1) AND NOT _again")
 
     def source(own: str, given: str):
         return F.when(F.col("sure"), F.col(given)).otherwise(F.col(f"_first.{own}")).alias(given)
 
-    claim = F.struct("start", "end", source("doc_id", "to_id"), source("_text_key", "to_key"),
-                     source("start", "to_start"))
-    listed = later.groupBy(*DOC).agg(F.collect_set(claim).alias("claims"))
+    rows = later.select(*DOC, "start", "end", source("doc_id", "to_id"),
+                        source("_text_key", "to_key"), source("start", "to_start"))
+    # Where a batch ends within a document a run becomes two, which overlap.
+    sorted_ = rows.repartition(*DOC).sortWithinPartitions(*DOC, "start")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_weight(batches, "claims", BLOCK_WORDS):
-            yield _cut(batch)
+        return map(_cut, batches)
 
-    return listed.mapInArrow(
-        cut, "doc_id bigint, _text_key bigint, start int, end int, to_id bigint, to_key bigint, "
-        "to_start int",
-    )
+    return sorted_.mapInArrow(cut, rows.schema)
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Claims of documents joined to runs and cut at the cells of their first place."""
-    column = batch.column("claims")
-    values = column.flatten()
-    row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+    """Claims of sorted documents joined to runs and cut at the cells of their first place."""
+    ids, keys, to_id, to_key = (batch.column(n) for n in ("doc_id", "_text_key", "to_id", "to_key"))
     start, end, to_start = (
-        values.field(name).to_numpy().astype(np.int64) for name in ("start", "end", "to_start"))
-    to_id, to_key = values.field("to_id"), values.field("to_key").to_numpy()
+        batch.column(name).to_numpy().astype(np.int64) for name in ("start", "end", "to_start"))
+    documents = np.stack([ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(),
+                          keys.to_numpy()])
+    row = np.cumsum(np.any(documents != np.roll(documents, 1, axis=1), axis=0))
     missing = to_id.is_null().to_numpy(zero_copy_only=False)
     shift = to_start - start
-    order = np.lexsort((start, shift, to_key, to_id.fill_null(0).to_numpy(), missing, row))
+    order = np.lexsort((start, shift, to_key.to_numpy(), to_id.fill_null(0).to_numpy(), missing, row))
     start, end, shift = start[order], end[order], shift[order]
-    same = np.stack([row, missing, to_id.fill_null(0).to_numpy(), to_key])[:, order]
+    same = np.stack([row, missing, to_id.fill_null(0).to_numpy(), to_key.to_numpy()])[:, order]
     head = np.ones(len(order), bool)
     head[1:] = (same[:, 1:] != same[:, :-1]).any(axis=0) | (shift[1:] != shift[:-1])
     head[1:] |= start[1:] > end[:-1]
@@ -304,14 +304,13 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     cell = low[run] // CELL + np.arange(len(run)) - np.repeat(np.cumsum(cells) - cells, cells)
     begin = np.maximum(low[run], cell * CELL)
     stop = np.minimum(high[run], (cell + 1) * CELL)
-    own, order = pa.array(row[order[run]]), pa.array(order[run])
+    order = pa.array(order[run])
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("doc_id").take(own), batch.column("_text_key").take(own),
+            ids.take(order), keys.take(order),
             pa.array((begin - shift[run]).astype(np.int32)),
             pa.array((stop - shift[run]).astype(np.int32)),
-            to_id.take(order), values.field("to_key").take(order),
-            pa.array(begin.astype(np.int32)),
+            to_id.take(order), to_key.take(order), pa.array(begin.astype(np.int32)),
         ],
         names=["doc_id", "_text_key", "start", "end", "to_id", "to_key", "to_start"],
     )

@@ -33,6 +33,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -241,13 +243,13 @@ def claims(
     """(doc_id, _text_key, start, end, to_id, to_key, to_start): stretches of words of a document
     that by their windows' names are the same as those from ``to_start`` on, which come earlier."""
     bits = FILTER_BITS
-    again = docs.sparkSession.sparkContext.broadcast(
+    anchored = docs.sparkSession.sparkContext.broadcast(
         _filter(repeated_anchors(docs, size, rounds), bits)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_weight(batches, "words", BLOCK_WORDS):
-            yield _sent(batch, size, rounds, again.value, bits, name_bits)
+            yield _sent(batch, size, rounds, anchored.value, bits, name_bits)
 
     sent = _hashed(docs).mapInArrow(
         run, "name bigint, doc_id bigint, _text_key bigint, start int, end int, sure boolean, "
@@ -258,15 +260,17 @@ def claims(
     )
     # Identical rows are one document: their equal windows are peers, none is after the other, and
     # one of them is enough.
-    row = F.struct("doc_id", "_text_key", "start", "end", "to_id", "to_key", "to_start")
+    # Window functions of plain columns, as a struct would be shuffled beside its columns.
+    columns = [*DOC, "start", "end", "to_id", "to_key", "to_start"]
+    again = [F.col(name).eqNullSafe(F.lag(name).over(order)) for name in columns]
     later = sent.withColumns({
         "_rank": F.rank().over(order),
-        "_first": F.first(F.struct("doc_id", "_text_key", "start")).over(order),
-        "_again": row.eqNullSafe(F.lag(row).over(order)),
+        "_again": reduce(and_, again),
+        **{f"_first_{name}": F.first(name).over(order) for name in (*DOC, "start")},
     }).where("(sure OR _rank > 1) AND NOT _again")
 
     def source(own: str, given: str):
-        return F.when(F.col("sure"), F.col(given)).otherwise(F.col(f"_first.{own}")).alias(given)
+        return F.when(F.col("sure"), F.col(given)).otherwise(F.col(f"_first_{own}")).alias(given)
 
     rows = later.select(*DOC, "start", "end", source("doc_id", "to_id"),
                         source("_text_key", "to_key"), source("start", "to_start"))

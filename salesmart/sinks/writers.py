@@ -35,10 +35,13 @@ def write_parquet(table: DataFrame, path: str, partition_by: Sequence[str] = ())
     table.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv(table: DataFrame, path: str, delimiter: str = ",") -> None:
+def write_csv(
+    table: DataFrame, path: str, delimiter: str = ",", compression: str = "none"
+) -> None:
     """CSV that `read_staging_csv` reads back unchanged: NULL is nothing, '' is ``""``."""
     table.write.mode("overwrite").csv(
         path, header=True, sep=delimiter, quote='"', escape='"', nullValue="", emptyValue='""',
+        compression=compression,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 

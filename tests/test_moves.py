@@ -2,7 +2,10 @@
 
 from pathlib import Path
 
+import pytest
+
 from salesmart import sinks, sources
+from salesmart.operators import attach_key
 
 
 def test_packed_csv_round_trip(spark, staging_rows, tmp_path):
@@ -16,3 +19,27 @@ def test_packed_csv_round_trip(spark, staging_rows, tmp_path):
     assert files and all(name.endswith(".csv.gz") for name in files)
     again = sources.read_staging_csv(spark, path, delimiter=";")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, staging.collect()))
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def by_size_none(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_is_broadcast_up_to_a_number_of_rows(spark, workspace, by_size_none):
+    dims = workspace.store("dims", spark.sql("SELECT concat('k', id) AS k, id AS n FROM range(100)"))
+    rows = spark.sql("SELECT id, if(id % 10 = 0, null, concat('k', id)) AS kk FROM range(200)")
+
+    def joined(most):
+        return attach_key(rows, dims, {"kk": "k"}, "n", "left", "fk", broadcast_rows=most)
+
+    assert "SortMergeJoin" in plan(joined(99)) and "SortMergeJoin" not in plan(joined(100))
+    expected = {(i, i if i % 10 and i < 100 else None) for i in range(200)}
+    assert {tuple(r) for r in joined(99).collect()} == expected
+    assert {tuple(r) for r in joined(100).collect()} == expected

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from salesmart.operators import attach_key, dense_id, position_id, ranked_id, representative
-from salesmart.plans import snowflake
+from salesmart.plans import snowflake, star
 from salesmart.schemas import SNOWFLAKE_TABLES
 from salesmart.workspace import Workspace
 
@@ -66,6 +67,38 @@ def test_representative_combines_before_the_shuffle(spark):
     assert text.count("partial_min") == 1 and text.count("Exchange") == 1
 
 
+def test_representative_of_few_keys_is_the_same(spark, workspace, monkeypatch):
+    random.seed(2)
+    heads = ["order-1", "order-", "", "zürich", "\U0001f600\U0001f600", "a\0"]  # 7 bytes cut some characters
+    ids = [None, *(head + tail for head in heads for tail in ["", "\0", "2", "10", "é"])]
+    rows = [
+        {"_id": random.choice(ids), "k": random.choice([None, "", "a", "é"]),
+         "j": random.choice([None, "x"]), "a": random.choice([None, "", "b", "c"])}
+        for _ in range(400)
+    ]
+    frame = spark.createDataFrame([tuple(r.values()) for r in rows], "_id string, k string, j string, a string")
+    module = sys.modules["salesmart.operators.representative"]
+    for limit, joins in ((500_000, 1), (1, 0)):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", limit)
+        picked = representative(
+            frame, ["k", "j"], ["k", "j", "a"], "_id", few_keys=workspace.child(f"limit_{limit}")
+        )
+        assert plan(picked).count("BroadcastHashJoin") == joins  # the rows are narrowed before they are sorted
+        result = picked.collect()
+        assert {(row.k, row.j): row.asDict() for row in result} == brute_first(rows, ["k", "j"])
+        assert len(result) == len({(r["k"], r["j"]) for r in rows})
+
+
+def test_dimensions_of_few_keys_narrow_their_rows(spark, workspace, staging_rows):
+    staging = workspace.store("staging", staging_rows({"id": "2"}, {"id": "1"}))
+    for plan_of, names in (
+        (star.picked, ["seller_dim", "product_dim", "store_dim", "supplier_dim"]),
+        (snowflake.picked, ["dim_seller", "dim_product", "dim_store", "dim_supplier"]),
+    ):
+        for name in names:
+            assert "LeftSemi" in plan(plan_of(staging, name, workspace))
+
+
 def rank_by_hash(keys):
     def order(key):
         text = "|".join(part for part in key if part is not None)

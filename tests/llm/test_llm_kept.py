@@ -1,9 +1,12 @@
 """What operators keep: the columns of the caller, and the exact words of the mix."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import importable  # noqa: F401
 from pyspark.sql import functions as F
@@ -172,3 +175,44 @@ def test_class_scores_equal_plain_sums(crowded, spark, workspace):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words) + 1, len(known) + 1, total)
         base = sum(math.log10((count[w] + 0.5) / base_total) for w in words) + math.log10((n_texts + 0.5) / base_total)
         assert abs(r.base_score - base) < 1e-8
+
+
+def test_the_class_model_moves_neighbours_once_and_codes_packed(crowded, spark, workspace):
+    rows = [(i, " ".join(f"w{(i * 31 + k * k * k) % 40}" for k in range(400)), "s") for i in range(300)]
+    class_lm.scores(crowded(rows), workspace, classes=3, rounds=1, vocabulary=5, frequent=10).count()
+    blocks = spark.read.parquet(f"{workspace.folder}/blocks")
+    tokens = sum(len(t.split()) for _, t, _ in rows)
+    assert blocks.agg(F.sum(F.octet_length("codes"))).first()[0] < 1.5 * tokens
+    table = np.zeros((5, 5))
+    rest = class_lm.rest_classes(blocks, None, None, table, 3)
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(word") == 1
+    written = class_lm.placed(blocks, None)
+    assert "word" not in written.columns and dict(written.dtypes)["codes"] == "binary"
+
+
+@pytest.mark.parametrize("width", [6, 700])
+def test_packed_numbers_and_sums_over_several_batches_are_whole(width):
+    for values in ([], [0], [-1, 2**31 - 1, 5] * 1000):
+        assert class_lm.unpacked(class_lm.packed(np.array(values, np.int64))).tolist() == values
+    draw, expected = random.Random(5), Counter()
+    sums, rows = class_lm.Sums(width), []
+    for _ in range(5):  # blocks, after each of which the sums are passed on
+        seen = Counter((draw.randrange(-4, 4) * 2**60, draw.randrange(width)) for _ in range(50))
+        seen[2**62 + 1, width - 1] = 255 * draw.randrange(4) + draw.randrange(1, 3)
+        expected.update(seen)
+        pairs = np.array(list(seen), np.int64)
+        sums.add(pairs[:, 0], pairs[:, 1], np.array(list(seen.values())))
+        rows += sums.rows().to_pylist()
+    rows.sort(key=lambda r: r["word"])
+    schema = pa.schema({"word": pa.int64(), "beside": pa.binary()})
+    got, words_found = Counter(), []
+    for k in (1, 3, len(rows)):  # rows in a batch: a word goes on over many
+        batches = [pa.RecordBatch.from_pylist(rows[i:i + k], schema) for i in range(0, len(rows), k)]
+        for word, counts in class_lm.summed_up(iter(batches), width):
+            words_found += word.tolist()
+            for w, row in zip(word.tolist(), counts):
+                got.update({(w, at): int(n) for at, n in enumerate(row) if n})
+    assert got == Counter({key: 3 * n for key, n in expected.items()})
+    assert len(words_found) == 3 * len(set(words_found))
+    assert not list(class_lm.summed_up(iter([]), width))

@@ -89,6 +89,38 @@ def test_representative_of_few_keys_is_the_same(spark, workspace, monkeypatch):
         assert len(result) == len({(r["k"], r["j"]) for r in rows})
 
 
+def test_representative_of_many_keys_is_the_same(spark, workspace, monkeypatch):
+    random.seed(4)
+    ids = [None, "", "order-1", "order-12", "order-2", "a\0", "a"]
+    rows = [
+        {"_id": random.choice(ids), "k": random.choice([None, "", *map(str, range(300))]),
+         "j": random.choice([None, "x"]), "a": random.choice([None, "", "b", "c"])}
+        for _ in range(4000)
+    ]
+    frame = spark.createDataFrame([tuple(r.values()) for r in rows], "_id string, k string, j string, a string")
+    module = sys.modules["salesmart.operators.representative"]
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    for words, most in ((2**20, 0.5), (1, 1)):  # all keys in one word: every bit is set
+        monkeypatch.setattr(module, "BIT_WORDS", words)
+        space = workspace.child(f"words_{words}")
+        near = module._near_first(frame, ["k", "j"], "_id", space, hashed=True)
+        assert near.count() <= most * len(rows)
+        picked = representative(frame, ["k", "j"], ["k", "j", "a"], "_id", many_keys=space)
+        assert "BroadcastHashJoin" in plan(picked)  # narrowed before they are sorted
+        result = picked.collect()
+        assert {(row.k, row.j): row.asDict() for row in result} == brute_first(rows, ["k", "j"])
+        assert len(result) == len({(r["k"], r["j"]) for r in rows})
+
+
+def test_customers_narrow_their_rows(spark, workspace, staging_rows, monkeypatch):
+    staging = workspace.store("staging", staging_rows(*[
+        {"id": str(i), "customer_email": f"{i % 5}@x.com"} for i in range(20)]))
+    for limit, join in ((500_000, "LeftSemi"), (1, "Inner")):
+        monkeypatch.setattr(sys.modules["salesmart.operators.representative"], "BROADCAST_ROWS", limit)
+        for plan_of, name in ((star.picked, "customer_dim"), (snowflake.picked, "dim_customer")):
+            assert join in plan(plan_of(staging, name, workspace.child(f"{name}_{limit}")))
+
+
 def test_dimensions_of_few_keys_narrow_their_rows(spark, workspace, staging_rows):
     staging = workspace.store("staging", staging_rows({"id": "2"}, {"id": "1"}))
     for plan_of, names in (

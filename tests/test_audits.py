@@ -96,3 +96,39 @@ def test_each_child_is_scanned_once_for_all_its_edges(spark, workspace):
     found = audits.fk_violations(tables, edges, {"p": "id", "q": "id"})
     assert {row.edge: row.n for row in found.collect()} == {"child.a": 0, "child.b": 3}
     assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 3, 0])
+def test_fk_violations_of_any_ids(spark, monkeypatch, broadcast_rows):
+    """Negative, far apart, repeated and missing ids; parents too large to broadcast are joined."""
+    monkeypatch.setattr(audits, "BROADCAST_ROWS", broadcast_rows)
+    ids = [0, 63, 64, -1, 10**15, 5, 5, None]
+    used = [(0, 64), (63, 65), (1, None), (1, -1), (-64, -2), (10**15, 10**15 + 1), (None, 5), (5, 5)]
+    tables = {
+        "parent": spark.createDataFrame([(i,) for i in ids], "id long"),
+        "none": spark.range(0),
+        "child": spark.createDataFrame(used, "a long, b long"),
+    }
+    edges = [("child", "a", "parent"), ("child", "b", "parent")]
+    keys = {"parent": "id", "none": "id"}
+    assert found(audits.fk_violations(tables, edges, keys)) == [("child.a", 3), ("child.b", 3)]
+    assert found(audits.fk_violations(tables, [("child", "a", "none")], keys)) == [("child.a", 7)]
+
+
+def test_fk_violations_move_no_row_of_the_child(spark, workspace):
+    child = workspace.store("child", spark.sql("SELECT id a, id % 7 b FROM range(1000)"))
+    tables = {"child": child, "p": spark.range(990), "q": spark.range(7)}
+    edges = [("child", "a", "p"), ("child", "b", "q")]
+    rows = audits.fk_violations(tables, edges, {"p": "id", "q": "id"})
+    assert {row.edge: row.n for row in rows.collect()} == {"child.a": 10, "child.b": 0}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "inline" in plan and "Aggregate [edge" not in plan
+
+
+def test_rules_are_compiled(spark, staging, workspace):
+    """A function with a lambda would be interpreted row by row, with all rules in it."""
+    dims = star.dimensions(staging, workspace.child("star"))
+    keys = snowflake.number(staging, workspace.child("snowflake"))
+    for rows in (star.linked(staging, dims), snowflake.linked(staging, keys)):
+        assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not rows.schema["broken"].dataType.containsNull

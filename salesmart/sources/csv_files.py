@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from salesmart.schemas import STAGING, STAGING_COLUMNS
 
-# What the reader is told to return for "" so that it can be told from an absent value.
-_EMPTY = "\u0001empty\u0001"
+# What the reader takes for an absent value, so that "" can be told from it.
+_ABSENT = "\u0001absent\u0001"
 
 
 def read_staging_csv(
@@ -35,13 +35,11 @@ def read_staging_csv(
         quote='"',
         escape='"',
         multiLine=multi_line,
-        emptyValue=_EMPTY,
+        nullValue=_ABSENT,
+        emptyValue="",
         mode="FAILFAST",
     )
-    columns = [
-        F.when(F.col(name) == _EMPTY, F.lit("")).otherwise(F.col(name)).alias(name)
-        for name in STAGING_COLUMNS
-    ]
+    columns = [F.col(name) for name in STAGING_COLUMNS]
     if with_source:
         columns.append(F.col("_metadata.file_name").alias("_source"))
     return rows.select(*columns)
